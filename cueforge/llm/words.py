@@ -28,7 +28,8 @@ def seeds(n: int, start: int = 0) -> np.ndarray:
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_BYTE = seeds(256)
+_CASED = seeds(256)
+_BYTE = _CASED.copy()
 _BYTE[65:91] = _BYTE[97:123]
 _BASE = int(seeds(1, 1000)[0]) | 1
 _powers: dict[str, np.ndarray] = {}
@@ -60,13 +61,20 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The hash of each word of all documents in order, and the documents' offsets in it.
+    """The hash of each word of all documents in order, and the documents' offsets in it."""
+    h, _, _, at = word_spans(*buffers(column))
+    return h, at
+
+
+def word_spans(data: np.ndarray, offsets: np.ndarray, fold: bool = True, cut: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Each word's hash, first byte and end, and the documents' offsets in the words.
+
+    fold: hash A-Z as a-z. cut: two tables of bytes; words are also cut between a byte of the first and one of the second.
 
     Works in pieces of about CHUNK bytes, cut at white space or document ends, so that one very long document
     takes no more memory than many short ones.
     """
-    data, offsets = buffers(column)
-    found, starts, lo, n = [], [], 0, len(data)
+    found, starts, ends, lo, n = [], [], [], 0, len(data)
     while lo < n:
         hi = min(n, lo + CHUNK)
         while hi < n and not _SPACE[data[hi]]:  # to the next white space or document end
@@ -83,16 +91,21 @@ def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         last[:-1] &= ~word[1:]
         first[inner] = word[inner]
         last[inner - 1] = word[inner - 1]
+        if cut is not None:
+            inside = cut[0][piece[:-1]] & cut[1][piece[1:]]
+            first[1:] |= inside
+            last[:-1] |= inside
         s, e = np.flatnonzero(first), np.flatnonzero(last) + 1
         up, down = _power(len(piece) + 1)
         total = np.zeros(len(piece) + 1, _U)
-        np.cumsum(_BYTE[piece] * up[: len(piece)], out=total[1:])
+        np.cumsum((_BYTE if fold else _CASED)[piece] * up[: len(piece)], out=total[1:])
         found.append(mix((total[e] - total[s]) * down[s] + _U(1)))
         starts.append(s + lo)
+        ends.append(e + lo)
         lo = hi
     h = np.concatenate(found) if found else np.zeros(0, _U)
-    at = np.concatenate(starts) if starts else np.zeros(0, np.int64)
-    return h, np.searchsorted(at, offsets)
+    first, last = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (starts, ends))
+    return h, first, last, np.searchsorted(first, offsets)
 
 
 def shingles(h: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
