@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cueforge.llm import jaccard_join
+from cueforge.llm import jaccard_join, repair
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,8 +17,21 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_classes(spark, _documents(spark, sf_dir))
 
 
+def _vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op8_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.encoded(spark, _documents(spark, sf_dir), _vocabulary(), end_id=1)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op5_jaccard_join": op5_jaccard_join}
+    return {
+        "op5_jaccard_join": op5_jaccard_join,
+        "op8_repair_ids": op8_repair_ids,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
