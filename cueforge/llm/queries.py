@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cueforge.llm import jaccard_join, repair
+from cueforge.llm import jaccard_join, media, packing, repair
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,10 +27,20 @@ def op8_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.encoded(spark, _documents(spark, sf_dir), _vocabulary(), end_id=1)
 
 
+def op9_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(spark, _documents(spark, sf_dir), _vocabulary(), end_id=2)
+
+
+def op10_iso_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.stored(_documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op5_jaccard_join": op5_jaccard_join,
         "op8_repair_ids": op8_repair_ids,
+        "op9_harmonic_packing": op9_harmonic_packing,
+        "op10_iso_media": op10_iso_media,
     }
 
 
