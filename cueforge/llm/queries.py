@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cueforge.llm import fingerprint, jaccard_join, media, mixing, packing, quality, repair, spans, url_filter
+from cueforge.llm import fingerprint, jaccard_join, media, mixing, packing, pitman_yor, quality, repair, spans, url_filter
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.scored(spark, _documents(spark, sf_dir))
+
+
 def op2_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text")
     return spans.deduplicated(spark, docs)
@@ -58,6 +62,7 @@ def op10_iso_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_pitman_yor": op1_pitman_yor,
         "op2_sentence_spans": op2_sentence_spans,
         "op3_scaled_sketch": op3_scaled_sketch,
         "op4_quality_qda": op4_quality_qda,
