@@ -145,24 +145,29 @@ def fit(sums: np.ndarray, to_diagonal: float = 0.05, to_pooled: float = 0.05) ->
     return Discriminant(means, factors, terms, prior)
 
 
+def train(known: DataFrame, labels: DataFrame, folds: int, held: int) -> Discriminant:
+    """Learn from known (doc_id, x) and labels (doc_id, quality); only the class sums come to the driver."""
+    rows = labels.where(F.col("quality").isin(0, 1) & ~_fold(folds, held)).select("doc_id", "quality")
+    parts = known.join(rows, "doc_id").select(F.col("quality").cast("long").alias("label"), "x").mapInArrow(_moments, "label long, sums array<double>")
+    sums = np.zeros((2, 1 + len(FEATURES) + len(FEATURES) ** 2))
+    for r in parts.select("label", F.posexplode("sums")).groupBy("label", "pos").agg(F.sum("col").alias("s")).collect():
+        sums[r["label"], r["pos"]] = r["s"]
+    return fit(sums)
+
+
+def _fold(folds: int, held: int):
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == held, F.lit(False))
+
+
 def classified(spark: SparkSession, docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, cut: float = 0.3) -> DataFrame:
     """(doc_id, held_out, score, predicted) for each row of docs (doc_id, text).
 
-    Learns from all rows of labels (doc_id, quality) whose crc32(doc_id as text) mod folds isn't `held`; rows without a 0 or 1 in quality or without a document don't
-    count. Only the class sums come to the driver. Null texts count as empty, null doc_ids are never held out; repeated rows
+    Learns from all rows of labels (doc_id, quality) whose crc32(doc_id as text) mod folds isn't `held`; rows without a 0 or 1
+    in quality or without a document don't count. Null texts count as empty, null doc_ids are never held out; repeated rows
     are scored alike. Without labels of both classes every score is 0 or 1, the class that there is (1 without any).
     """
-    store = Store(spark, "quality")
-    known = store.save(features(docs), "features")
-    fold = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == held, F.lit(False))
-    train = labels.where(F.col("quality").isin(0, 1) & ~fold).select("doc_id", "quality")
-    width = 1 + len(FEATURES) + len(FEATURES) ** 2
-    parts = known.join(train, "doc_id").select(F.col("quality").cast("long").alias("label"), "x").mapInArrow(_moments, "label long, sums array<double>")
-    rows = parts.select("label", F.posexplode("sums")).groupBy("label", "pos").agg(F.sum("col").alias("s")).collect()
-    sums = np.zeros((2, width))
-    for r in rows:
-        sums[r["label"], r["pos"]] = r["s"]
-    model = fit(sums)
+    known = Store(spark, "quality").save(features(docs), "features")
+    model = train(known, labels, folds, held)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -170,4 +175,16 @@ def classified(spark: SparkSession, docs: DataFrame, labels: DataFrame, folds: i
             yield pa.record_batch([batch.column(0), pa.array(model.score(x))], names=["doc_id", "score"])
 
     out = known.mapInArrow(scored, "doc_id long, score double")
-    return out.select("doc_id", fold.alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted"))
+    return out.select("doc_id", _fold(folds, held).alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted"))
+
+
+def accepted(spark: SparkSession, docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, cut: float = 0.3) -> DataFrame:
+    """The rows of docs, all columns, that classified() predicts 1 for; one more scan, and no row is moved."""
+    known = Store(spark, "quality").save(features(docs), "features")
+    model, place = train(known, labels, folds, held), docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(model.score(statistics(batch.column(place))) >= cut))
+
+    return docs.mapInArrow(keep, docs.schema)
