@@ -43,7 +43,7 @@ class Snapshots:
         self._fs = self._path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
     def _current(self) -> str | None:
-        pointer = f"{self.path}/_current"
+        pointer = f"{self.path}/CURRENT"
         if not self._fs.exists(self._path(pointer)):
             return None
         return json.loads(self.spark.read.text(pointer, wholetext=True).first()[0])["version"]
@@ -57,11 +57,11 @@ class Snapshots:
         """A new version; readers see the old or the new one, never a mixture."""
         version = f"v-{uuid.uuid4().hex}"
         df.write.parquet(f"{self.path}/{version}")
-        part = self._path(f"{self.path}/_pointer-{version}")
+        part = self._path(f"{self.path}/pointer-{version}")
         out = self._fs.create(part, True)
         out.write(bytearray(json.dumps({"version": version}).encode()))
         out.close()
-        target = self._path(f"{self.path}/_current")
+        target = self._path(f"{self.path}/CURRENT")
         self._fs.delete(target, False)
         if not self._fs.rename(part, target):
             raise OSError(f"can't exchange {target}")

@@ -48,7 +48,7 @@ def vtt_cues(files: DataFrame) -> DataFrame:
     lines = F.split(T.strip(F.col("block")), "\n")
     at = F.array_position(F.transform(lines, lambda x: x.contains("-->")), True).cast("int")
     cue = block.withColumns({"lines": lines, "at": at})
-    time = F.element_at("lines", F.col("at"))
+    time = F.get("lines", F.col("at") - 1)
     text = F.array_join(F.slice("lines", F.col("at") + 1, F.greatest(F.size("lines") - F.col("at"), F.lit(0))), "\n")
     cue = cue.select("path", "pos", _ms(time, 0).alias("start_ms"), _ms(time, 1).alias("end_ms"), text.alias("text"))
     cue = cue.where(F.col("start_ms").isNotNull() & F.col("end_ms").isNotNull())
