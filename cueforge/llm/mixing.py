@@ -81,18 +81,20 @@ def repeated(docs: DataFrame, mix: DataFrame) -> DataFrame:
 
     docs needs doc_ids and texts that identify its rows; repeated rows of docs are taken alike.
     """
-    one = mix.select(F.col("doc_id").alias("_id"), "which", "size", "taken").dropDuplicates(["_id", "which"])
-    both = docs.join(one, docs.doc_id.eqNullSafe(F.col("_id")) & F.xxhash64(docs.text).eqNullSafe(F.col("which")))
-    whole = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(F.lit(0)).cast("int")
-    over = F.when(F.col("size") > 0, F.col("taken") % F.col("size")).otherwise(F.lit(0)).cast("int")
+    one = mix.select(F.col("doc_id").alias("_id"), F.col("which").alias("_which"), F.col("size").alias("_size"), F.col("taken").alias("_taken"))
+    one = one.dropDuplicates(["_id", "_which"])
+    both = docs.join(one, docs.doc_id.eqNullSafe(F.col("_id")) & F.xxhash64(docs.text).eqNullSafe(F.col("_which")))
+    some = F.col("_size") > 0
+    whole = F.when(some, F.floor(F.col("_taken") / F.col("_size"))).otherwise(F.lit(0)).cast("int")
+    over = F.when(some, F.col("_taken") % F.col("_size")).otherwise(F.lit(0)).cast("int")
     both = both.withColumn("_whole", whole).withColumn("_over", over)
     lead = F.col("text").rlike(r"^[\x20\x09-\x0D]").cast("int")
     cut = F.call_function("split", F.col("text"), F.lit(r"[\x20\x09-\x0D]+"), F.col("_over") + 1 + lead)
     piece = F.expr("substring(text, 1, length(text) - length(element_at(_cut, -1)))")
     both = both.withColumn("_cut", F.when(F.col("_over") > 0, cut))
     copies = F.array_repeat(F.col("text"), F.col("_whole"))
-    both = both.withColumn("_texts", F.when(F.col("_over") > 0, F.concat(copies, F.array(piece))).otherwise(copies))
-    out = both.withColumn("text", F.explode("_texts"))
-    fresh = F.length("text") if "n_chars" in docs.columns else None
-    out = out.withColumn("n_chars", fresh.cast(docs.schema["n_chars"].dataType)) if fresh is not None else out
+    texts = F.when(F.col("_over") > 0, F.concat(copies, F.array(piece))).otherwise(copies)
+    out = both.withColumn("_texts", texts).withColumn("text", F.explode("_texts"))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
