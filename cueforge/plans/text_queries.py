@@ -177,7 +177,8 @@ sim as (select w.doc_id, w.window_id, coalesce(s.sim, 0) as sim from (select * f
 
 def _windows(spark: SparkSession, d: str) -> DataFrame:
     """Three lines a window."""
-    lines = _lines(spark, d).withColumn("window_id", F.floor(F.col("pos") / 3).cast("int"))
+    docs = table(spark, d, "documents").select("doc_id", "text").repartition("doc_id")  # all steps up to the similarities keep this partitioning
+    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line")).withColumn("window_id", F.floor(F.col("pos") / 3).cast("int"))
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "line"))), lambda x: x["line"]), " ")
     return lines.groupBy("doc_id", "window_id").agg(text.alias("text"))
 
