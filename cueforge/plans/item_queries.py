@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cueforge.functions import text as T
-from cueforge.operators import consolidate, merge, select, sequence, status
+from cueforge.operators import consolidate, document, merge, select, sequence, status
 from cueforge.plans.registry import query
 from cueforge.session import table
 
@@ -289,3 +289,12 @@ def volume_index(spark: SparkSession, d: str) -> DataFrame:
     placed = consolidate.pack(blocks, order=["doc_id"], max_chars=60_000, header=200)
     v = consolidate.volumes(placed, F.lit("2024-01-01"), order="doc_id")
     return v.select("channel", "volume_no", "file_name", F.size("video_ids").cast("long").alias("n_videos"), F.col("n_chars").cast("long").alias("n_chars"))
+
+
+@query("pending_markdown", """
+select doc_id as video_id, source from documents where 'p' || doc_id in (select 'p' || doc_id from labels where doc_id % 2 = 0) and doc_id not in (select item_id from benchmark where item_id is not null)""")
+def pending_markdown(spark: SparkSession, d: str) -> DataFrame:
+    name = lambda t, c, end: table(spark, d, t).select(F.col(c).alias("video_id"), F.concat(F.lit("p"), F.col(c).cast("string"), F.lit(end)).alias("path"))
+    files = name("labels", "doc_id", ".srt").where(F.col("video_id") % 2 == 0).union(name("benchmark", "item_id", ".MD"))
+    items = table(spark, d, "documents").select(F.col("doc_id").alias("video_id"), "source")
+    return document.pending_markdown(items, files)

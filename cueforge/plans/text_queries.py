@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cueforge.functions import markdown as M
 from cueforge.functions import text as T
-from cueforge.operators import sequence, topics
+from cueforge.operators import document, sequence, topics
 from cueforge.plans.registry import query
 from cueforge.session import table
 from cueforge.sources import records, subtitles
@@ -307,3 +307,10 @@ select doc_id, 'c' || doc_id || '--ID.pt-br.info.json,c' || doc_id || '--ID.info
 def sidecar_candidates(spark: SparkSession, d: str) -> DataFrame:
     path = F.concat(F.lit("c"), F.col("doc_id").cast("string"), F.lit("--ID.pt-br.txt"))
     return table(spark, d, "documents").select("doc_id", F.array_join(records.sidecar_candidates(path), ",").alias("names"))
+
+
+@query("transcript_markdown")
+def transcript_markdown(spark: SparkSession, d: str) -> DataFrame:
+    cues = table(spark, d, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("turn").cast("int").alias("seq"), (F.col("turn") * 20_000).alias("start_ms"), (F.col("turn") * 20_000 + 19_000).alias("end_ms"), "text")
+    meta = table(spark, d, "documents").select("doc_id", F.col("source").alias("title"), F.lit("20240101").alias("date"))
+    return document.to_markdown(cues, meta, "en", elapsed="total")
