@@ -28,12 +28,11 @@ from cueforge.llm import tokens
 from cueforge.llm.store import Store
 
 MAGIC, SHARD_IDS, ROUNDS, RULES_A_ROUND, LEAST = b"CFRP", 1_000_000, 5, 3000, 8
-_BUCKETS = 1 << 22
+_BUCKETS = 1 << 20
 
 
-def _frequent(pairs: np.ndarray, valid: np.ndarray, room: int) -> np.ndarray:
-    """The most frequent pair keys, most frequent first."""
-    bucket = (pairs * np.int64(0x9E3779B1)) & (_BUCKETS - 1)
+def _frequent(pairs: np.ndarray, bucket: np.ndarray, valid: np.ndarray, room: int) -> np.ndarray:
+    """The most frequent pair keys, most frequent first, at most one of each bucket."""
     counts = np.bincount(bucket[valid], minlength=_BUCKETS)
     full = counts[counts >= LEAST]
     if not len(full):
@@ -42,7 +41,13 @@ def _frequent(pairs: np.ndarray, valid: np.ndarray, room: int) -> np.ndarray:
     keys, n = np.unique(pairs[valid & (counts >= floor)[bucket]], return_counts=True)
     keep = n >= LEAST
     keys, n = keys[keep], n[keep]
-    return keys[np.lexsort((keys, -n))][:room]
+    keys = keys[np.lexsort((keys, -n))]
+    _, first = np.unique(_bucket(keys), return_index=True)
+    return keys[np.sort(first)][:room]
+
+
+def _bucket(pairs: np.ndarray) -> np.ndarray:
+    return ((pairs * np.int64(0x9E3779B97F4A7C15 - (1 << 64))) >> np.int64(40)).astype(np.int32) & np.int32(_BUCKETS - 1)
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -60,12 +65,15 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray,
             break
         pairs = seq[:-1] << np.int64(32) | seq[1:]
         valid = ~last[1 : len(seq)]
-        best = _frequent(pairs, valid, room)
+        bucket = _bucket(pairs)
+        best = _frequent(pairs, bucket, valid, room)
         if not len(best):
             break
-        by = np.argsort(best)
-        where = np.minimum(np.searchsorted(best[by], pairs), len(best) - 1)
-        rank = np.where(valid & (best[by][where] == pairs), by[where], len(best))
+        turn = np.full(_BUCKETS, len(best), np.int32)
+        turn[_bucket(best)] = np.arange(len(best))
+        rank = turn[bucket]
+        near = np.flatnonzero(rank < len(best))
+        rank[near[(best[rank[near]] != pairs[near]) | ~valid[near]]] = len(best)
         before, after = np.r_[len(best), rank[:-1]], np.r_[rank[1:], len(best)]
         at = np.flatnonzero((rank < len(best)) & (rank < before) & (rank <= after))
         seq[at] = base + len(rules) + rank[at]
