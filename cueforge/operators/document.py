@@ -29,6 +29,7 @@ def clean_cues(cues: DataFrame, pause_unit: str = "second") -> DataFrame:
 def to_markdown(cues: DataFrame, meta: DataFrame, language: str = "pt", rules: dict[str, str] | None = None, version: str = "Cueforge", least: int = 3, elapsed: str = "component", pause_unit: str = "second") -> DataFrame:
     """(doc_id, md) for each document with text; meta: (doc_id, title, date), both optional.
 
+    The folds' results are read by several later steps and so persisted (recomputed if an executor is lost); spark.catalog.clearCache() frees them.
     Windows by elapsed time, topics where neighbouring windows are unlike, a summary of topics with times, and a chapter for each with timed paragraphs.
     """
     stops = topics.stop_words(language)
@@ -36,13 +37,13 @@ def to_markdown(cues: DataFrame, meta: DataFrame, language: str = "pt", rules: d
     ends = cleaned.groupBy("doc_id").agg(F.max_by("end_ms", "seq").alias("last_ms"))
     ends = ends.withColumn("p", sequence.window_parameters(T.total_seconds(F.col("last_ms")))).select("doc_id", "last_ms", "p.size_s", "p.threshold")
     timed = cleaned.join(ends, "doc_id").withColumn("has", F.col("clean").isNotNull() & (F.col("clean") != ""))
-    placed = timed.join(sequence.elapsed_windows(timed, "doc_id", "seq", "size_s", kept="has", elapsed=elapsed), ["doc_id", "seq"])
+    placed = timed.join(sequence.elapsed_windows(timed, "doc_id", "seq", "size_s", kept="has", elapsed=elapsed), ["doc_id", "seq"]).persist()
     windows = placed.groupBy("doc_id", "window_id").agg(_joined(["seq"], "clean", " ").alias("text"))
-    weights = topics.tfidf(windows, stops=stops)
+    weights = topics.tfidf(windows, stops=stops).persist()
     sims = topics.neighbour_similarity(weights, windows).join(ends.select("doc_id", "threshold"), "doc_id")
     # thresholds differ by document, so similarities are compared as distances from them
     breaks = topics.topic_breaks(sims.withColumn("sim", F.round("sim", 9) - F.col("threshold")), 0.0, least)
-    segs = topics.segments(windows.select("doc_id", "window_id"), breaks)
+    segs = topics.segments(windows.select("doc_id", "window_id"), breaks).persist()
     labels = topics.keywords(weights, segs, stops)
     inside = placed.join(segs, ["doc_id", "window_id"])
     starts = inside.groupBy("doc_id", "seg_no").agg(F.min_by("start_ms", "seq").alias("seg_ms")).join(labels, ["doc_id", "seg_no"])
