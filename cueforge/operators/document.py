@@ -84,7 +84,7 @@ def channel_of_document(documents: DataFrame) -> DataFrame:
     """(path, handle): the first channel name a document has, else its file name's end."""
     doc = F.col("doc")
     name = F.substring_index("path", "/", -1)
-    fallback = F.regexp_replace(F.regexp_replace(name, r"\.json$", ""), "^(escriba|lista)_", "")
+    fallback = F.regexp_replace(F.regexp_replace(name, r"\.json$", ""), "^[^_]*_", "")
     first = lambda c: F.get(c, F.lit(0))
     found = F.coalesce(*(F.nullif(c, F.lit("")) for c in (first(doc["youtube_channels"]), first(doc["vimeo_channels"]), doc["youtube_channel"], doc["channel"], doc["channel_context"], doc["folder_repository"])), fallback)
     return documents.select("path", T.handle(found).alias("handle"))

@@ -26,7 +26,8 @@ def _fields(ddl: str) -> str:
 
 
 _VIDEOS = f"array<struct<{_fields(VIDEO)}>>"
-_CHANNEL = f"folder_repository string, videos {_VIDEOS}, youtube_channels array<string>, vimeo_channels array<string>, channel_context string, detected_language string, youtube_channel string, channel string, lexis_state struct<processed_files: array<string>, processed_ids: array<string>, last_volume: int, last_volume_size: bigint>"
+_CHANNEL = f"folder_repository string, videos {_VIDEOS}, youtube_channels array<string>, vimeo_channels array<string>, channel_context string, detected_language string, youtube_channel string, channel string"
+_STATE = "struct<processed_files: array<string>, processed_ids: array<string>, last_volume: int, last_volume_size: bigint>"
 
 
 def whole_files(spark: SparkSession, path: str, glob: str) -> DataFrame:
@@ -38,9 +39,13 @@ def whole_files(spark: SparkSession, path: str, glob: str) -> DataFrame:
     return files.where(~bad)
 
 
-def channel_documents(files: DataFrame) -> DataFrame:
-    """(path, doc): each text (path, value) as a channel document; a bare list is its videos, a broken text has none."""
-    doc = F.from_json("value", _CHANNEL)
+def channel_documents(files: DataFrame, state_key: str = "state") -> DataFrame:
+    """(path, doc): each text (path, value) as a channel document; a bare list is its videos, a broken text has none.
+
+    state_key: the document's key of its packing state; doc has it as `state`.
+    """
+    kept = F.from_json("value", f"`{state_key}` {_STATE}")[state_key]
+    doc = F.from_json("value", _CHANNEL).withField("state", kept)
     bare = F.from_json("value", _VIDEOS)
     is_list = F.trim("value").startswith("[")
     videos = F.when(is_list, bare).otherwise(doc["videos"])
@@ -58,7 +63,7 @@ def migrated(documents: DataFrame) -> DataFrame:
     """Documents with youtube_channel filled from the older fields, and its flags set for ids of the old state."""
     doc = F.col("doc")
     name = F.coalesce(known(doc["youtube_channel"], [""]), known(doc["channel"], [""]), known(doc["channel_context"], [""]))
-    ids = F.coalesce(doc["lexis_state"]["processed_ids"], F.array().cast("array<string>"))
+    ids = F.coalesce(doc["state"]["processed_ids"], F.array().cast("array<string>"))
     flagged = F.transform(doc["videos"], lambda v: v.withField("consolidated_notebooklm", F.coalesce(v["consolidated_notebooklm"], v["consolidated"], F.lit(False)) | F.array_contains(ids, v["video_id"])))
     return documents.withColumn("doc", doc.withField("youtube_channel", name).withField("videos", flagged))
 
@@ -138,11 +143,11 @@ def eligible(files: DataFrame, channel: str, archives: bool = True) -> DataFrame
     return files.where(fits & ~name.rlike(rf"^\Q{channel}\E-v\d+\.txt$") & (F.lit(archives) | ~stored)).orderBy("path")
 
 
-def channel_folders(paths: DataFrame) -> DataFrame:
-    """(folder): folders that hold an item database or an archive or volumes folder, sorted. Excluded by their own name only."""
+def channel_folders(paths: DataFrame, prefix: str) -> DataFrame:
+    """(folder): folders that hold an item database (`<prefix>_*.json`) or an archive or volumes folder, sorted. Excluded by their own name only."""
     full = F.regexp_replace("path", "/+", "/")
     name, folder = F.substring_index(full, "/", -1), F.regexp_replace(full, "/[^/]*$", "")
-    direct = paths.where(name.rlike(r"^escriba_.*\.json$")).select(folder.alias("folder"))
+    direct = paths.where(name.rlike(rf"^\Q{prefix}\E_.*\.json$")).select(folder.alias("folder"))
     up = paths.where(folder.rlike("/(archive|volumes_notebooklm)$")).select(F.regexp_replace(folder, "/[^/]*$", "").alias("folder"))
     found = direct.union(up).distinct()
     own = F.substring_index("folder", "/", -1)
@@ -187,10 +192,10 @@ def valid_cookie_text(text: Column) -> Column:
     return head.contains("Netscape") | head.contains("TRUE")
 
 
-def latest_database(files: DataFrame, official: str) -> DataFrame:
-    """One row: the official file, else the newest `escriba_*` or `lista_*` one (path, modified)."""
+def latest_database(files: DataFrame, official: str, prefixes: tuple[str, ...] = ("lista",)) -> DataFrame:
+    """One row: the official file, else the newest one with a prefix (path, modified)."""
     name = F.substring_index("path", "/", -1)
-    own = files.where((name == official) | name.rlike(r"^(escriba|lista)_.*\.json$"))
+    own = files.where((name == official) | name.rlike(rf"^(?:{'|'.join(prefixes)})_.*\.json$"))
     return own.orderBy((name == official).desc(), F.col("modified").desc(), "path").limit(1)
 
 
@@ -208,3 +213,42 @@ def history(documents: DataFrame, infos: DataFrame) -> DataFrame:
     both = a.unionByName(b, allowMissingColumns=True)
     pos = F.row_number().over(Window.partitionBy("video_id").orderBy("_rank", "path", "pos"))
     return merge_records(both.withColumn("pos", pos))
+
+
+def legacy_srt_name(name: Column, channel: str, item: Column) -> Column:
+    """Whether an SRT file's language follows the id after a dot, as older names had it."""
+    rest = F.substr(name, F.length(item) + len(channel) + 2)
+    return name.startswith(channel) & rest.startswith(".") & name.endswith(".srt") & (F.length(rest) - F.length(F.replace(rest, F.lit("."), F.lit(""))) >= 2)
+
+
+def standard_srt_name(name: Column, channel: str, item: Column) -> Column:
+    """The file's name with its language after a dash."""
+    front = F.concat(F.lit(f"{channel}-"), item)
+    tail = F.regexp_replace(F.substr(name, F.length(item) + len(channel) + 2), r"^\.+", "")
+    return F.when(legacy_srt_name(name, channel, item), F.concat(front, F.lit("-"), tail)).otherwise(name)
+
+
+def listing_records(listing: DataFrame, known_items: DataFrame) -> DataFrame:
+    """Landed listing rows (video_id, title, upload_date, publish_date, date) with one date; an item without one has the history's, or is unknown."""
+    old = known_items.select(F.col("video_id").alias("_h"), F.col("publish_date").alias("_d"))
+    own = F.coalesce(*(known(F.col(c), [""]) for c in ("upload_date", "publish_date", "date")))
+    both = listing.join(old, F.col("video_id") == F.col("_h"), "left")
+    return both.select("video_id", "title", F.when(own.isNotNull(), T.format_date(own)).otherwise(F.coalesce("_d", F.lit(T.UNKNOWN_DATE))).alias("publish_date"))
+
+
+def adopt_old_state(state: DataFrame, old: DataFrame, key: str = "channel") -> DataFrame:
+    """State with rows of an older state table for channels that have none."""
+    return state.unionByName(old.join(state.select(key), key, "left_anti"), allowMissingColumns=True)
+
+
+def archived(files: DataFrame, processed: DataFrame) -> DataFrame:
+    """files (path) with archived: whether it was processed. Files aren't moved; a reset is this table without the flag."""
+    done = processed.select(F.col("path").alias("_p")).distinct()
+    return files.join(done, F.col("path") == F.col("_p"), "left").withColumn("archived", F.col("_p").isNotNull()).drop("_p")
+
+
+def subtitle_listing(files: DataFrame, ending: str = "srt") -> DataFrame:
+    """Files of an ending with their rank: for srt archived ones go first, for md last; then by name."""
+    stored = F.when(F.col("path").rlike("(^|/)archive/"), 0).when(F.col("path").rlike("(^|/)archives/"), 1)
+    rank = F.coalesce(stored, F.lit(2)) if ending == "srt" else F.coalesce(stored + 1, F.lit(0))
+    return files.where(F.lower("path").endswith(f".{ending}")).withColumn("rank", rank).orderBy("rank", F.substring_index("path", "/", -1))

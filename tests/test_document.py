@@ -6,16 +6,16 @@ from cueforge.sources import records
 
 
 def test_cues_to_markdown(spark):
-    texts = ["vamos falar de gatos", "vamos falar de gatos pretos", "gatos pretos dormem muito", "agora carros novos", "carros novos e velozes", None, "Ecclesia <i>antiga</i>"]
+    texts = ["vamos falar de gatos", "vamos falar de gatos pretos", "gatos pretos dormem muito", "agora carros novos", "carros novos e velozes", None, "Eclesia <i>antiga</i>"]
     cues = spark.createDataFrame([("abc12345678", i, i * 10_000, i * 10_000 + 9_000, t) for i, t in enumerate(texts)] + [("blank", 0, 0, 1000, " ")], "doc_id string, seq int, start_ms long, end_ms long, text string")
     meta = spark.createDataFrame([("abc12345678", 'O "T"', "20240101")], "doc_id string, title string, date string")
-    got = document.to_markdown(cues, meta, rules={"Ecclesia": "Ekklezia"}, elapsed="total")
+    got = document.to_markdown(cues, meta, rules={"Eclesia": "Igreja"}, elapsed="total")
     rows = got.collect()
     assert len(rows) == 1
     md = rows[0]["md"]
     assert md.startswith('---\ntitle: "O \\"T\\""\nvideo_id: "abc12345678"\nurl: "https://youtube.com/watch?v=abc12345678"\ndate: "2024-01-01"\nduration: "01:09"')
     assert "## Sumário e Tópicos (Timestamps)\n* `[00:00]` **Introdução**\n" in md and "### [00:00:00] - Tópico: Introdução\n[00:00] Vamos falar de gatos" in md
-    assert "Ekklezia antiga." in md and "<i>" not in md and "Agora carros novos" in md
+    assert "Igreja antiga." in md and "<i>" not in md and "Agora carros novos" in md
     assert {r["status"]: r["n"] for r in document.converted_counts(cues, got).collect()} == {"converted": 1, "skipped": 1}
 
 
@@ -30,8 +30,8 @@ def test_lookups(spark):
     assert document.origin_of_playlist(h, "P").first()["uploader"] == "U"
     files = spark.createDataFrame([("v1", "a.srt"), ("v1", "a.md"), ("v2", "b.SRT")], "video_id string, path string")
     assert [r["video_id"] for r in document.pending_markdown(h, files).collect()] == ["v2"]
-    docs = records.channel_documents(spark.createDataFrame([("x/escriba_abc.json", "{}"), ("y.json", '{"youtube_channels": ["@k"]}')], "path string, value string"))
-    assert {r["path"]: r["handle"] for r in document.channel_of_document(docs).collect()} == {"x/escriba_abc.json": "@abc", "y.json": "@k"}
+    docs = records.channel_documents(spark.createDataFrame([("x/db_abc.json", "{}"), ("y.json", '{"youtube_channels": ["@k"]}')], "path string, value string"))
+    assert {r["path"]: r["handle"] for r in document.channel_of_document(docs).collect()} == {"x/db_abc.json": "@abc", "y.json": "@k"}
     orphans = spark.createDataFrame([("d/title.pt.srt",), ("d/other.srt",)], "path string")
     infos = spark.createDataFrame([("d/title.info.json", "abcdefghij1")], "path string, video_id string")
     assert [tuple(r) for r in document.recovered_names(orphans, infos).collect()] == [("d/title.pt.srt", "d/title-abcdefghij1.pt.srt")]
@@ -41,7 +41,7 @@ def test_lookups(spark):
 def test_front_end(spark, tmp_path, capsys):
     (tmp_path / "in").mkdir()
     (tmp_path / "in/c-abcdefghij1.srt").write_text("1\n00:00:01,000 --> 00:00:03,000\nOlá mundo\n\n2\n00:00:04,000 --> 00:00:05,000\nbem vindo\n")
-    (tmp_path / "in/escriba_c.json").write_text('{"videos": [{"video_id": "abcdefghij1", "subtitle_downloaded": true}]}')
+    (tmp_path / "in/db_c.json").write_text('{"videos": [{"video_id": "abcdefghij1", "subtitle_downloaded": true}]}')
     assert cli.main(["status", str(tmp_path / "in")]) == 0
     assert '"total":1,"downloaded":1' in capsys.readouterr().out
     assert cli.main(["markdown", str(tmp_path / "in"), str(tmp_path / "md")]) == 0

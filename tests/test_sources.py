@@ -67,8 +67,8 @@ def test_files(spark):
     assert names[0] == "Channel--ID.pt-br.info.json" and "Channel--ID.info.json" in names
     side = spark.createDataFrame([("r/meucanal--ABC12345678.info.json", "T")], "path string, title string")
     assert {r["path"]: r["sidecar"] for r in records.with_sidecars(f, side).collect()}["r/meucanal--ABC12345678.txt"]["title"] == "T"
-    paths = spark.createDataFrame([("a/b/escriba_x.json",), ("a/c/archive/y.txt",), ("a/.git/escriba_z.json",)], "path string")
-    assert [r[0] for r in records.channel_folders(paths).collect()] == ["a/b", "a/c"]
+    paths = spark.createDataFrame([("a/b/db_x.json",), ("a/c/archive/y.txt",), ("a/.git/db_z.json",)], "path string")
+    assert [r[0] for r in records.channel_folders(paths, "db").collect()] == ["a/b", "a/c"]
 
 
 def test_cookies(spark):
@@ -116,3 +116,17 @@ def test_early_stop_stream(spark, tmp_path):
     q = incremental.early_stop(stream, run=3).writeStream.format("memory").queryName("stop").outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination()
     assert sorted(r[1] for r in spark.table("stop").collect()) == ["v0", "v1", "v2", "v3"]
+
+
+def test_names_listings_and_state(spark, value):
+    item, lit = F.lit("abcdefghij1"), F.lit
+    assert value(records.standard_srt_name(lit("c-abcdefghij1.pt-BR.srt"), "c", item)) == "c-abcdefghij1-pt-BR.srt"
+    assert value(records.standard_srt_name(lit("c-abcdefghij1-pt.srt"), "c", item)) == "c-abcdefghij1-pt.srt"
+    listing = spark.createDataFrame([("a", "A", "20240101", None, None), ("b", "B", None, "", None), ("c", "C", None, None, None)], "video_id string, title string, upload_date string, publish_date string, date string")
+    known = spark.createDataFrame([("b", "2023-01-01")], "video_id string, publish_date string")
+    assert {r["video_id"]: r["publish_date"] for r in records.listing_records(listing, known).collect()} == {"a": "2024-01-01", "b": "2023-01-01", "c": "Desconhecida"}
+    new, old = spark.createDataFrame([("c", 2)], "channel string, last_volume int"), spark.createDataFrame([("c", 1), ("d", 4)], "channel string, last_volume int")
+    assert {tuple(r) for r in records.adopt_old_state(new, old).collect()} == {("c", 2), ("d", 4)}
+    files = spark.createDataFrame([("x/b.srt",), ("x/archive/z.srt",), ("x/a.srt",), ("x/n.md",)], "path string")
+    assert [r["path"] for r in records.subtitle_listing(files).collect()] == ["x/archive/z.srt", "x/a.srt", "x/b.srt"]
+    assert records.archived(files, files.where("path like '%a.srt'")).where("archived").count() == 1
