@@ -21,7 +21,8 @@ Flow, all in blocks of bounded size:
 
 Equal texts are never expanded into pairs. Links between already connected sets of a task are not repeated, so the
 links kept span the components. Null or blank texts have no set and link with nothing; extra columns are ignored;
-a doc_id that occurs twice is two rows; an empty table gives no rows.
+a doc_id that occurs twice is two rows; a null doc_id keeps its row, and its class is that of its
+partners, or null; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -36,11 +37,11 @@ from pyspark.sql import functions as F
 
 from cueforge.llm.graph import components
 from cueforge.llm.store import Store
-from cueforge.llm.words import mix, shingles, word_hashes
+from cueforge.llm.words import mix, pieces, shingles, word_spans
 
 _U = np.uint64
-BLOCK_POSTINGS, BLOCK_DOCS, RANGE_POSTINGS, CHARS_PER_WORD = 1_500_000, 1 << 16, 1_500_000, 6
-COST_OF_CHECK = 8
+BLOCK_POSTINGS, BLOCK_DOCS, RANGE_POSTINGS, CHARS_PER_WORD, PIECE = 1_500_000, 1 << 16, 1_500_000, 6, 8 << 20
+COST_OF_CHECK, NO_ID = 8, -(1 << 63)
 
 
 def prefix_places(n, threshold: int):
@@ -54,15 +55,16 @@ def _postings(width: int, ranges: int):
 
         part, block = TaskContext.get().partitionId(), 0
         for batch in batches:
-            h, words = word_hashes(batch.column(1))
-            runs, at = shingles(h, words, width)
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            lo = 0
-            while lo < len(ids):
-                hi = int(np.searchsorted(at, at[lo] + BLOCK_POSTINGS, "right")) - 1
-                hi = min(max(hi, lo + 1), len(ids), lo + BLOCK_DOCS)
-                yield _block(part << 32 | block, ids[lo:hi], runs, at[lo : hi + 1], ranges)
-                lo, block = hi, block + 1
+            ids = batch.column(0).fill_null(NO_ID).to_numpy()
+            for first, end, data, offsets in pieces(batch.column(1), PIECE):
+                h, _, _, words = word_spans(data, offsets)
+                runs, at = shingles(h, words, width)
+                own, lo = ids[first:end], 0
+                while lo < len(own):
+                    hi = int(np.searchsorted(at, at[lo] + BLOCK_POSTINGS, "right")) - 1
+                    hi = min(max(hi, lo + 1), len(own), lo + BLOCK_DOCS)
+                    yield _block(part << 32 | block, own[lo:hi], runs, at[lo : hi + 1], ranges)
+                    lo, block = hi, block + 1
 
     return scan
 
@@ -132,7 +134,7 @@ def _gathered(threshold: int):
             alive = own > 0 and n - own < prefix_places(int(n), threshold)
             sets.append(keys[cut[d] : cut[d + 1]].tobytes() if alive else None)
             freq.append(df[cut[d] : cut[d + 1]].astype(np.uint32).tobytes() if alive else None)
-        return pa.table([pa.array(head[:, 0]), pa.array(head[:, 1]), pa.array(head[:, 2]), pa.array(sets, pa.binary()), pa.array(freq, pa.binary())], names=["doc_id", "sig", "n", "shared", "df"])
+        return pa.table([pa.array(head[:, 0], mask=head[:, 0] == NO_ID), pa.array(head[:, 1]), pa.array(head[:, 2]), pa.array(sets, pa.binary()), pa.array(freq, pa.binary())], names=["doc_id", "sig", "n", "shared", "df"])
 
     return gather
 

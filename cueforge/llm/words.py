@@ -5,6 +5,8 @@ A word is `[^\\x20\\x09-\\x0D]+`, with A-Z lower-cased. Nothing here loops over
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 
@@ -108,6 +110,16 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, fold: bool = True, cut: tu
     return h, first, last, np.searchsorted(first, offsets)
 
 
+def pieces(column: pa.Array, size: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first, end, bytes, offsets) of some documents of a string array at a time, about `size` bytes or one document."""
+    data, offsets = buffers(column)
+    lo = 0
+    while lo < len(offsets) - 1:
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + size, "right")) - 1)
+        yield lo, hi, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
+        lo = hi
+
+
 def shingles(h: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of `width` words and the documents' offsets in them; a shorter text is one run."""
     factors = seeds(width, 2000) | _U(1)

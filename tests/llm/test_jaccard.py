@@ -46,6 +46,12 @@ def test_many_near_copies(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got.collect()} == brute(rows)
 
 
+def test_null_id(spark):
+    rows = [(None, "a b c d e f", "s"), (4, "A B C D E F", "s"), (None, "x", None)]
+    got = jaccard_join.jaccard_classes(spark, corpus(spark, rows)).collect()
+    assert sorted((r["doc_id"] or -1, r["n_shingles"], r["component_id"] or -1) for r in got) == [(-1, 1, -1), (-1, 2, 4), (4, 2, 4)]
+
+
 def test_empty_table(spark):
     assert jaccard_join.jaccard_classes(spark, corpus(spark, [])).count() == 0
 
