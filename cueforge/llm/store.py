@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,10 +24,11 @@ class Store:
         self.spark = spark
         self.path = f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
-    def save(self, df: DataFrame, name: str) -> DataFrame:
-        """Write df and return what was written."""
+    def save(self, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+        """Write df and return what was written. by: a column of few values that get folders of their own."""
         path = f"{self.path}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        writer = df.write.mode("overwrite")
+        (writer.partitionBy(by) if by else writer).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
@@ -32,4 +37,23 @@ class Store:
         for name in names:
             path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
             path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-        jvm.System.gc()
+        self.release()
+
+    def release(self) -> None:
+        """Let Spark delete the shuffle files of steps whose frames are gone: it does so when their objects are collected."""
+        for _ in range(2):
+            gc.collect()
+            self.spark.sparkContext._jvm.System.gc()
+            time.sleep(0.2)
+
+
+@contextmanager
+def rows_at_once(spark: SparkSession, n: int) -> Iterator[None]:
+    """For tables of large binary rows: while this holds, Spark hands at most n rows to Python together."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
