@@ -164,3 +164,27 @@ def test_oracles(spark, name):
     order = sorted(got.columns)
     key = lambda rows: sorted(tuple("" if x is None else str(x) for x in r) for r in rows)
     assert key(got.select(*order).collect()) == key(expected.select(*order).fetchall())
+
+
+def _distinct_words(rng, n):
+    return ["".join(rng.choice("klmnopqrst") for _ in range(7)) for _ in range(n)]
+
+
+@pytest.mark.parametrize(("sentence_words", "stop"), [((1000,), ""), ((60,), "."), ((24,), "."), ((9, 30, 17), "."), ((16,), ".")])
+def test_spans_passages_over_fifty_words_inside_sentences(spark, sentence_words, stop):
+    import random
+
+    rng = random.Random(5)
+    words, k = _distinct_words(rng, 51), 0
+    for n in sentence_words * 51:
+        k += n
+        if k <= len(words):
+            words[k - 1] += stop
+    passage, rows = " ".join(words), []
+    for i in range(40):
+        before, after = (" ".join(_distinct_words(rng, rng.randint(1, 20))) for _ in range(2))
+        rows.append((i, f"{before} {passage} {after}", "s"))
+    got = {r["doc_id"]: r["text"] for r in spans.deduplicated(spark, corpus(spark, rows)).collect()}
+    assert got[0] == rows[0][1]
+    for i, t, _ in rows[1:]:
+        assert got[i] != t and passage not in got[i], i
