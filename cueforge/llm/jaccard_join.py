@@ -4,8 +4,8 @@ Two documents link when the Jaccard similarity of their word-shingle sets is at
 
 Global token order: rarer shingles first (by document frequency, then hash). A document of n shingles whose prefix
 has n - ceil(t n) + l shingles shares at least l of them with every similar document. Each document picks the l
-that makes its estimated cost least: the postings that its prefix reads, plus verifications, which are at most
-those postings over l. A pair is verified if it shares at least min(l, l') prefix shingles.
+that makes its estimated cost least, up to ceil(t n): the postings that its prefix reads, plus verifications, which
+are at most those postings over l. A pair is verified if it shares at least min(l, l') prefix shingles.
 
 Flow, all in blocks of bounded size:
 
@@ -44,9 +44,14 @@ BLOCK_POSTINGS, BLOCK_DOCS, RANGE_POSTINGS, CHARS_PER_WORD, PIECE = 1_500_000, 1
 COST_OF_CHECK, NO_ID = 8, -(1 << 63)
 
 
+def least_shared(n, threshold: int):
+    """How many of its n shingles a set shares with any similar one at least: ceil(threshold n / 100)."""
+    return -(-threshold * n // 100)
+
+
 def prefix_places(n, threshold: int):
     """Prefix length for one shared shingle: n - ceil(threshold n / 100) + 1."""
-    return n - -(-threshold * n // 100) + 1
+    return n - least_shared(n, threshold) + 1
 
 
 def _postings(width: int, ranges: int):
@@ -173,7 +178,7 @@ def _verified(threshold: int, most: int):
         df = [np.frombuffer(freqs[int(i)].as_buffer(), np.uint32) for i in order]
         m = len(sets)
         places = [prefix_places(int(n[i]), threshold) - (int(n[i]) - len(sets[i])) for i in range(m)]
-        need = np.array([best_match(df[i], places[i], most) for i in range(m)])
+        need = np.array([best_match(df[i], places[i], min(most, least_shared(int(n[i]), threshold))) for i in range(m)])
         _, token = np.unique(np.concatenate(sets), return_inverse=True)
         cut = np.r_[0, np.cumsum([len(s) for s in sets])]
 

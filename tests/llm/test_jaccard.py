@@ -67,3 +67,15 @@ def test_components(spark):
     edges = spark.createDataFrame([(i + 1, i) for i in range(40)] + [(100, 101), (101, 100), (7, 7), (None, 1)], "a long, b long")
     got = {r["node"]: r["label"] for r in graph.components(edges, Store(spark, "t"), "c").collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
+
+
+def test_short_texts_extended_by_one_word(spark):
+    rows = []
+    for n in range(8, 13):
+        for copies in (1, 2, 3):
+            words = [f"w{n}x{copies}x{k}" for k in range(n + 1)]
+            rows += [(len(rows) + k, " ".join(words[: n + k % 2]), "s") for k in range(2 * copies)]
+            # others that hold the same shingles, so that all of them are shared
+            rows += [(len(rows) + k, " ".join([*words, *(f"y{len(rows)}z{k}z{j}" for j in range(30))]), "s") for k in range(copies)]
+    got = jaccard_join.jaccard_classes(spark, corpus(spark, rows)).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute(rows)
