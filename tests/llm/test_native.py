@@ -188,3 +188,14 @@ def test_spans_passages_over_fifty_words_inside_sentences(spark, sentence_words,
     assert got[0] == rows[0][1]
     for i, t, _ in rows[1:]:
         assert got[i] != t and passage not in got[i], i
+
+
+@pytest.mark.parametrize(("line_words", "lines"), [(1, 60), (4, 15), (4, 500)])
+def test_spans_passages_of_short_lines(spark, line_words, lines):
+    import random
+
+    rng = random.Random(9)
+    passage = "\n".join(" ".join(_distinct_words(rng, line_words)) for _ in range(lines))
+    rows = [(i, f"{sentence(rng, 12)}\n{passage}\n{sentence(rng, 12)}", "s") for i in range(4)]
+    got = {r["doc_id"]: r["text"] for r in spans.deduplicated(spark, corpus(spark, rows)).collect()}
+    assert got == {i: t if i == 0 else t.replace(f"{passage}\n", "") for i, t, _ in rows}
