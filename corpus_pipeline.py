@@ -18,10 +18,17 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest doc_id stays."""
-    classes = jaccard_join.jaccard_classes(spark, docs)
-    keep = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_keep"))
-    return docs.join(keep, F.col("doc_id").eqNullSafe(F.col("_keep")), "left_semi")
+    """Of each group of near copies one row stays: the one with the smallest doc_id (null after all others), then text hash.
+
+    Rows alike in doc_id and text are one document, of which one row stays, blank ones too.
+    """
+    key = F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text")
+    classes = jaccard_join.jaccard_classes(spark, docs.select(key.alias("doc_id"), "text"))
+    classes = classes.groupBy(F.col("doc_id").alias("_key")).agg(F.min("component_id").alias("class"))
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("th"), key.alias("_key"))
+    ranks = docs.select(key.alias("_key"), rank.alias("rank")).groupBy("_key").agg(F.min("rank").alias("rank"))
+    keep = classes.join(ranks, "_key").groupBy("class").agg(F.min("rank").alias("rank")).select("rank._key")
+    return docs.withColumn("_key", key).join(keep, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)
 
 
 def span_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

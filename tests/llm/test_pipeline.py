@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from cueforge.llm import mixing, quality, spans
 from cueforge.llm.store import Store
+from helpers import corpus
 from test_jaccard import brute
 
 DIR = "/root/testdata/sf0.001"
@@ -37,3 +38,11 @@ def test_registered():
 
     names = set(__spark_entry__.queries())
     assert "pipeline" in names and all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11))
+
+
+def test_one_row_of_each_group_stays(spark):
+    a, b = " ".join(f"a{k}" for k in range(40)), " ".join(f"b{k}" for k in range(40))
+    rows = [(1, a, "s"), (1, a, "s"), (1, a + " more", "s"), (2, a, "s"), (1, b, "s"), (3, b, "s"), (None, b, "s"), (3, "c d e", "s"), (None, "x y z", "s"), (None, "x y z", "s")]
+    kept = corpus_pipeline.near_duplicate_stage(spark, corpus(spark, rows), DIR).collect()
+    got = sorted((r["doc_id"] or -1, r["text"][0]) for r in kept)
+    assert got == [(-1, "x"), (1, "a"), (1, "b"), (3, "c")]
