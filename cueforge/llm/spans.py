@@ -31,7 +31,7 @@ from cueforge.llm.store import Store
 from cueforge.llm.words import _power, buffers, mix, pieces, word_spans
 
 RUN, LEAST_WORDS, SPAN_WORDS, LONG, WINDOW = 3, 15, 19, 16, 8
-PIECE = 4 << 20
+PIECE = 1 << 20
 _END = np.zeros(256, bool)
 _END[[33, 46, 63]] = True
 _LINE = np.zeros(256, bool)
@@ -84,10 +84,11 @@ def _spans(data: np.ndarray, offsets: np.ndarray, run: int, least_words: int, sp
 def _scan(run: int, least_words: int, span_words: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, end, data, offsets in pieces(pc.utf8_lower(batch.column(2)), PIECE):
+            for first, end, _, _ in pieces(batch.column(2), PIECE):
+                data, offsets = buffers(pc.utf8_lower(batch.column(2).slice(first, end - first)))
                 doc, start, size, h = _spans(data, offsets, run, least_words, span_words)
-                for k in range(0, len(doc), 1 << 17):
-                    own = slice(k, k + (1 << 17))
+                for k in range(0, len(doc), 1 << 15):
+                    own = slice(k, k + (1 << 15))
                     ids = batch.slice(first, end - first).select([0, 1]).take(pa.array(doc[own]))
                     place = start[own] << 31 | size[own]
                     yield pa.record_batch([*ids.columns, pa.array(place), pa.array(h[own].view(np.int64))], names=["id", "th", "place", "hash"])
@@ -98,9 +99,8 @@ def _scan(run: int, least_words: int, span_words: int):
 def _without(text: pa.Array, marks: pa.Array) -> pa.Array:
     """What stays of texts without the spans marked, the number of pieces, and the places of those that went."""
     out = []
-    for first, end, data, offsets in pieces(pc.utf8_lower(text), PIECE):
-        _, at, _, parts = _cuts(data, offsets)
-        own, where = buffers(text.slice(first, end - first))
+    for first, end, own, where in pieces(text, PIECE):
+        _, at, _, parts = _cuts(*buffers(pc.utf8_lower(text.slice(first, end - first))))
         _, begin, _, same = word_spans(own, where)
         assert np.array_equal(at, same)
         cut = np.searchsorted(parts, at)
