@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cueforge.llm.memory import lean
+
 UNIT, RATE, CHUNK_UNITS, KEY_EVERY, CODEC = 192, 8000, 64, 16, b"raw "
 #: Boxes of the format that hold other boxes.
 CONTAINERS = {b"moov", b"trak", b"mdia", b"minf", b"stbl", b"dinf", b"edts", b"udta", b"mvex", b"moof", b"traf"}
@@ -182,4 +184,4 @@ def stored(docs: DataFrame, media: bool = False) -> DataFrame:
     """
     fields = _FIELDS if media else _FIELDS[:-1]
     kinds = {pa.int64(): "long", pa.string(): "string", pa.float64(): "double", pa.binary(): "binary"}
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_stored(media), ", ".join(f"{n} {kinds[k]}" for n, k in fields))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean(_stored(media)), ", ".join(f"{n} {kinds[k]}" for n, k in fields))

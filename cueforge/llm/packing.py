@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cueforge.llm import tokens
+from cueforge.llm.memory import lean
 from cueforge.llm.store import Store
 
 CAPACITY, CUTS = 4096, 2
@@ -96,7 +97,7 @@ def packed(spark: SparkSession, docs: DataFrame, path: str, end_id: int = 2, cap
     """
     store = Store(spark, "packing")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    pieces = store.save(texts.mapInArrow(_pieces(path, end_id, capacity, cuts), "part long, class long, nth long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long"), "pieces")
+    pieces = store.save(texts.mapInArrow(lean(_pieces(path, end_id, capacity, cuts)), "part long, class long, nth long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long"), "pieces")
     shares = pieces.groupBy("part", "class").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("class").orderBy("part")) - F.col("n")
     total = F.sum("n").over(Window.partitionBy("class"))

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cueforge.llm import tokens
+from cueforge.llm.memory import lean
 from cueforge.llm.store import Store
 
 MAGIC, SHARD_IDS, ROUNDS, RULES_A_ROUND, LEAST = b"CFRP", 1_000_000, 5, 3000, 8
@@ -194,7 +195,7 @@ def write_ids(docs: DataFrame, path: str, end_id: int, parts: int) -> DataFrame:
     """
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     ordered = texts.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
-    return ordered.mapInArrow(_writer(path, end_id), "part long, shard long, first_doc long, docs long, ids long, data binary")
+    return ordered.mapInArrow(lean(_writer(path, end_id)), "part long, shard long, first_doc long, docs long, ids long, data binary")
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,7 +220,7 @@ def read_ids(shards: DataFrame) -> DataFrame:
     before = totals.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
     inside = F.sum("ids").over(Window.partitionBy("part").orderBy("shard")) - F.col("ids")
     places = sizes.withColumn("earlier", inside).join(before, "part").select("part", "shard", (F.col("earlier") + F.col("before")).alias("place"))
-    rows = shards.select("part", "shard", "data").mapInArrow(_read, "part long, shard long, doc_id long, inside long, n_tokens long, ids_crc32 long")
+    rows = shards.select("part", "shard", "data").mapInArrow(lean(_read), "part long, shard long, doc_id long, inside long, n_tokens long, ids_crc32 long")
     return rows.join(places, ["part", "shard"]).select("doc_id", (F.col("place") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32", "part", "shard")
 
 
