@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cueforge.llm.graph import components
+from cueforge.llm.memory import lean, lean_group
 from cueforge.llm.store import Store
 from cueforge.llm.words import mix, pieces, shingles, word_spans
 
@@ -230,13 +231,13 @@ def jaccard_classes(spark: SparkSession, docs: DataFrame, threshold: int = 80, w
     chars = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(parts, math.ceil(chars / CHARS_PER_WORD / RANGE_POSTINGS))
     rows = "block long, rng long, data binary"
-    posted = texts.mapInArrow(_postings(width, ranges), rows)
-    shared = posted.groupBy("rng").applyInArrow(_shared, rows)
-    members = shared.groupBy("block").applyInArrow(_gathered(threshold), "doc_id long, sig long, n long, shared binary, df binary")
+    posted = texts.mapInArrow(lean(_postings(width, ranges)), rows)
+    shared = posted.groupBy("rng").applyInArrow(lean_group(_shared), rows)
+    members = shared.groupBy("block").applyInArrow(lean_group(_gathered(threshold)), "doc_id long, sig long, n long, shared binary, df binary")
     members = store.save(members, "members")
     alive = members.where("shared is not null").groupBy("sig").agg(F.first("n").alias("n"), F.first("shared").alias("shared"), F.first("df").alias("df"))
     alive = store.save(alive, "alive")
-    stars = alive.select("sig", "n", "shared").mapInArrow(_stars(threshold), "key long, sig long")
+    stars = alive.select("sig", "n", "shared").mapInArrow(lean(_stars(threshold)), "key long, sig long")
     stars = store.save(stars, "stars")
     hubs = stars.groupBy("key").agg(F.min("sig").alias("hub"), F.count("*").alias("k")).where("k > 1")
     edges = stars.join(hubs, "key").where("sig > hub").select(F.col("sig").alias("a"), F.col("hub").alias("b"))
@@ -246,10 +247,13 @@ def jaccard_classes(spark: SparkSession, docs: DataFrame, threshold: int = 80, w
     other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
     tiled = tiled.select("label", F.col("node").alias("sig"), "tile", other.alias("other"))
     tiled = tiled.select("label", "sig", "tile", F.least("tile", "other").alias("x"), F.greatest("tile", "other").alias("y"))
-    checked = tiled.join(alive, "sig").groupBy("label", "x", "y").applyInArrow(_verified(threshold, most), "a long, b long")
+    checked = tiled.join(alive, "sig").groupBy("label", "x", "y").applyInArrow(lean_group(_verified(threshold, most)), "a long, b long")
     linked = components(store.save(checked, "links"), store, "linked")
     named = members.select("doc_id", "sig", "n").join(linked, F.col("sig") == F.col("node"), "left")
     named = named.select("doc_id", "n", F.when(F.col("n") > 0, F.coalesce("label", "sig")).alias("class"))
     named = store.save(named, "named")
     least = named.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("component_id"))
-    return named.join(least, "class", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    result = named.join(least, "class", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    result = store.save(result, "classes")
+    store.drop("members", "alive", "stars", "groups", "links", "named")
+    return result

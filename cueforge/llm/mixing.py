@@ -16,7 +16,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cueforge.llm.store import Store
+from cueforge.llm.store import Store, fields, whole_row
 
 BUCKET_ROWS = 2000
 
@@ -45,19 +45,23 @@ def water_fill(sources: DataFrame, epochs: float, weights: tuple[float, ...] = (
     return df.select("source", "source_size", F.least("cap", F.coalesce(F.col("level") * F.col("weight"), F.col("cap"))).alias("target"))
 
 
+def _which(docs: DataFrame) -> Column:
+    """128 bits that tell a row from all rows that aren't wholly alike."""
+    row = [x for c in docs.columns for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
+    return F.struct(F.xxhash64(*row).alias("a"), F.xxhash64(F.lit(1), *row).alias("b"))
+
+
 def mixed(spark: SparkSession, docs: DataFrame, epochs: float = 3, weights: tuple[float, ...] = (5, 2, 1), seed: int = 20) -> DataFrame:
     """docs (doc_id, text, source and any others), with size, source_size, target and taken.
 
     taken: the words that the mix takes of the row, repeats counted, at most `epochs` times its size. Each source's
     taken words add up to its target, rounded. The order within a source is a hash of doc_id and seed: sums over hash buckets,
     then running sums inside one bucket, so a source of any size is spread over all tasks. A null source is a source of
-    its own; empty texts take nothing; rows that share a doc_id are drawn together, but count one by one.
-    Columns of docs with the names of the results are replaced.
+    its own; empty texts take nothing; rows that share a doc_id are drawn together, but count one by one. The result also has
+    which, a hash of the whole row, by which repeated() finds it. Extra columns are ignored, but for that hash.
     """
-    names = ["size", "source_size", "target", "taken"]
-    docs = docs.drop(*names)
     store = Store(spark, "mixing")
-    sized = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.xxhash64(F.col("doc_id").cast("string"), F.lit(seed)).alias("draw"), F.xxhash64("text").alias("which"))
+    sized = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.xxhash64(F.col("doc_id").cast("string"), F.lit(seed)).alias("draw"), _which(docs).alias("which"))
     sized = store.save(sized, "sized")
     buckets = 1 << max(0, math.ceil(math.log2(max(1, sized.count()) / BUCKET_ROWS)))
     sized = sized.withColumn("bucket", F.shiftright(F.col("draw"), 40).bitwiseAND(buckets - 1))
@@ -79,22 +83,21 @@ def mixed(spark: SparkSession, docs: DataFrame, epochs: float = 3, weights: tupl
 def repeated(docs: DataFrame, mix: DataFrame) -> DataFrame:
     """docs, each row as often as the mix takes it: whole repetitions, then the first words of a fractional one.
 
-    docs needs doc_ids and texts that identify its rows; repeated rows of docs are taken alike.
+    mix is mixed() of the same docs. Rows that are alike in every column can't be told apart: they go on as one row that is
+    repeated as often as all of them together, so the words taken stay exact. Null texts give no rows.
     """
-    one = mix.select(F.col("doc_id").alias("_id"), F.col("which").alias("_which"), F.col("size").alias("_size"), F.col("taken").alias("_taken"))
-    one = one.dropDuplicates(["_id", "_which"])
-    both = docs.join(one, docs.doc_id.eqNullSafe(F.col("_id")) & F.xxhash64(docs.text).eqNullSafe(F.col("_which")))
-    some = F.col("_size") > 0
-    whole = F.when(some, F.floor(F.col("_taken") / F.col("_size"))).otherwise(F.lit(0)).cast("int")
-    over = F.when(some, F.col("_taken") % F.col("_size")).otherwise(F.lit(0)).cast("int")
-    both = both.withColumn("_whole", whole).withColumn("_over", over)
-    lead = F.col("text").rlike(r"^[\x20\x09-\x0D]").cast("int")
-    cut = F.call_function("split", F.col("text"), F.lit(r"[\x20\x09-\x0D]+"), F.col("_over") + 1 + lead)
-    piece = F.expr("substring(text, 1, length(text) - length(element_at(_cut, -1)))")
-    both = both.withColumn("_cut", F.when(F.col("_over") > 0, cut))
-    copies = F.array_repeat(F.col("text"), F.col("_whole"))
-    texts = F.when(F.col("_over") > 0, F.concat(copies, F.array(piece))).otherwise(copies)
-    out = both.withColumn("_texts", texts).withColumn("text", F.explode("_texts"))
+    one = mix.groupBy(F.col("which").alias("of")).agg(F.max("size").alias("size"), F.sum("taken").alias("taken")).where("taken > 0")
+    rows = docs.select(_which(docs).alias("which"), whole_row(docs).alias("row")).dropDuplicates(["which"])
+    both = rows.join(one, F.col("which") == F.col("of"))
+    text, over = F.col("row.text"), (F.col("taken") % F.col("size")).cast("int")
+    lead = text.rlike(r"^[\x20\x09-\x0D]").cast("int")
+    cut = F.call_function("split", text, F.lit(r"[\x20\x09-\x0D]+"), over + 1 + lead)
+    both = both.select("row", F.floor(F.col("taken") / F.col("size")).cast("int").alias("whole"), F.when(over > 0, cut).alias("cut"))
+    piece = F.expr("substring(row.text, 1, length(row.text) - length(element_at(cut, -1)))")
+    turns = F.col("whole") + F.col("cut").isNotNull().cast("int")
+    out = both.select("row", "whole", piece.alias("part"), F.explode(F.sequence(F.lit(1), turns)).alias("turn"))
+    out = out.select("row", F.when(F.col("turn") > F.col("whole"), F.col("part")).otherwise(F.col("row.text")).alias("piece"))
+    new = {"text": F.col("piece")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        new["n_chars"] = F.length("piece").cast(docs.schema["n_chars"].dataType)
+    return out.select(*fields("row", docs.columns, **new))

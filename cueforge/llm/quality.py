@@ -12,14 +12,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cueforge.llm.store import Store
+from cueforge.llm.memory import lean
 from cueforge.llm.words import buffers, word_spans
 
 FEATURES = ["words", "word_length", "upper", "digits", "symbols", "bangs", "bars", "shouted", "marked", "new_words", "lines", "line_copies", "stops", "commas"]
-PIECE = 4 << 20
+PIECE, MOST_LABELS = 1 << 20, 200_000
 
 
 def _table(chars: bytes) -> np.ndarray:
@@ -85,23 +85,12 @@ def _piece(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     ], 1)
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        x = statistics(batch.column(1))
-        yield pa.record_batch([batch.column(0), pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), len(FEATURES)).cast(pa.list_(pa.float64()))], names=["doc_id", "x"])
-
-
-def features(docs: DataFrame) -> DataFrame:
-    """(doc_id, x): the statistics of each text."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(_features, "doc_id long, x array<double>")
-
-
 def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each class's count, sum and sum of products over labelled texts."""
     d = len(FEATURES)
     sums = np.zeros((2, 1 + d + d * d))
     for batch in batches:
-        y = batch.column(0).to_numpy(zero_copy_only=False)
-        x = np.array(batch.column(1).flatten()).reshape(-1, d)
+        y, x = batch.column(0).to_numpy(zero_copy_only=False), statistics(batch.column(1))
         for c in (0, 1):
             own = x[y == c]
             sums[c] += np.r_[len(own), own.sum(0), (own.T @ own).ravel()]
@@ -145,10 +134,16 @@ def fit(sums: np.ndarray, to_diagonal: float = 0.05, to_pooled: float = 0.05) ->
     return Discriminant(means, factors, terms, prior)
 
 
-def train(known: DataFrame, labels: DataFrame, folds: int, held: int) -> Discriminant:
-    """Learn from known (doc_id, x) and labels (doc_id, quality); only the class sums come to the driver."""
-    rows = labels.where(F.col("quality").isin(0, 1) & ~_fold(folds, held)).select("doc_id", "quality")
-    parts = known.join(rows, "doc_id").select(F.col("quality").cast("long").alias("label"), "x").mapInArrow(_moments, "label long, sums array<double>")
+def train(docs: DataFrame, labels: DataFrame, folds: int, held: int, most_labels: int) -> Discriminant:
+    """Learn from the labelled texts of docs; only the class sums come to the driver.
+
+    Of more than most_labels labels those with the least hashes count, so that the side which is broadcast has a bound; only
+    labelled texts reach Python, and no text is shuffled.
+    """
+    rows = labels.where(F.col("quality").isin(0, 1) & ~_fold(folds, held)).select(F.col("doc_id").alias("labelled"), F.col("quality").cast("long").alias("label"))
+    rows = rows.orderBy(F.xxhash64("labelled"), "labelled", "label").limit(most_labels)
+    texts = docs.select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    parts = texts.join(F.broadcast(rows), F.col("id") == F.col("labelled")).select("label", "text").mapInArrow(lean(_moments), "label long, sums array<double>")
     sums = np.zeros((2, 1 + len(FEATURES) + len(FEATURES) ** 2))
     for r in parts.select("label", F.posexplode("sums")).groupBy("label", "pos").agg(F.sum("col").alias("s")).collect():
         sums[r["label"], r["pos"]] = r["s"]
@@ -159,32 +154,30 @@ def _fold(folds: int, held: int):
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == held, F.lit(False))
 
 
-def classified(spark: SparkSession, docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, cut: float = 0.3) -> DataFrame:
+def classified(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, cut: float = 0.3, most_labels: int = MOST_LABELS) -> DataFrame:
     """(doc_id, held_out, score, predicted) for each row of docs (doc_id, text).
 
-    Learns from all rows of labels (doc_id, quality) whose crc32(doc_id as text) mod folds isn't `held`; rows without a 0 or 1
-    in quality or without a document don't count. Null texts count as empty, null doc_ids are never held out; repeated rows
-    are scored alike. Without labels of both classes every score is 0 or 1, the class that there is (1 without any).
+    Learns from all rows of labels (doc_id, quality) whose crc32(doc_id as text) mod folds isn't `held`, up to most_labels of
+    them; rows without a 0 or 1 in quality or without a document don't count. Null texts count as empty, null doc_ids are never
+    held out; repeated rows are scored alike. Without labels of both classes every score is 0 or 1, the class that there is
+    (1 without any). Extra columns are ignored; an empty table gives no rows.
     """
-    known = Store(spark, "quality").save(features(docs), "features")
-    model = train(known, labels, folds, held)
+    model = train(docs, labels, folds, held, most_labels)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = np.array(batch.column(1).flatten()).reshape(-1, len(FEATURES))
-            yield pa.record_batch([batch.column(0), pa.array(model.score(x))], names=["doc_id", "score"])
+            yield pa.record_batch([batch.column(0), pa.array(model.score(statistics(batch.column(1))))], names=["doc_id", "score"])
 
-    out = known.mapInArrow(scored, "doc_id long, score double")
+    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean(scored), "doc_id long, score double")
     return out.select("doc_id", _fold(folds, held).alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted"))
 
 
-def accepted(spark: SparkSession, docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, cut: float = 0.3) -> DataFrame:
-    """The rows of docs, all columns, that classified() predicts 1 for; one more scan, and no row is moved."""
-    known = Store(spark, "quality").save(features(docs), "features")
-    model, place = train(known, labels, folds, held), docs.columns.index("text")
+def accepted(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, cut: float = 0.3, most_labels: int = MOST_LABELS) -> DataFrame:
+    """The rows of docs, all columns, that classified() predicts 1 for; no row is moved or stored."""
+    model, place = train(docs, labels, folds, held, most_labels), docs.columns.index("text")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.filter(pa.array(model.score(statistics(batch.column(place))) >= cut))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(lean(keep), docs.schema)

@@ -27,7 +27,7 @@ def op3_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.classified(spark, _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.classified(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

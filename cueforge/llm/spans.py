@@ -27,7 +27,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cueforge.llm.store import Store
+from cueforge.llm.memory import lean, release
+from cueforge.llm.store import Store, fields, whole_row
 from cueforge.llm.words import _power, buffers, mix, pieces, word_spans
 
 RUN, LEAST_WORDS, SPAN_WORDS, LONG, WINDOW = 3, 15, 19, 16, 8
@@ -120,6 +121,8 @@ def _without(text: pa.Array, marks: pa.Array) -> pa.Array:
             out.append((stays.decode(), len(mine), np.flatnonzero(gone).tolist()))
     kept, number, removed = zip(*out, strict=True) if out else ((), (), ())
     fields = [pa.array(kept, pa.string()), pa.array(number, pa.int32()), pa.array(removed, pa.list_(pa.int32()))]
+    if len(text) > 1000:
+        release()
     return pa.StructArray.from_arrays(fields, ["text", "n_sentences", "removed"])
 
 
@@ -133,17 +136,18 @@ def deduplicated(spark: SparkSession, docs: DataFrame, run: int = RUN, least_wor
     """
     docs = docs.drop("n_sentences", "n_removed", "removed")
     store = Store(spark, "spans")
-    texts = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("th"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("th"), F.coalesce("text", F.lit("")).alias("text"), whole_row(docs).alias("row"))
     schema = T.StructType([T.StructField("id", docs.schema["doc_id"].dataType), *(T.StructField(c, T.LongType()) for c in ("th", "place", "hash"))])
-    spans = store.save(texts.mapInArrow(_scan(run, least_words, span_words), schema), "spans")
+    spans = store.save(rows.select("id", "th", "text").mapInArrow(lean(_scan(run, least_words, span_words)), schema), "spans")
     often = store.save(spans.groupBy("hash").agg(F.count("*").alias("k")).where("k > 1").select("hash"), "often")
     repeated = store.save(spans.join(often, "hash"), "repeated")
     first = store.save(repeated.groupBy("hash").agg(F.min(F.struct("id", "th", "place")).alias("first")), "first")
     again = repeated.join(first, "hash").where(~F.struct("id", "th", "place").eqNullSafe(F.col("first")))
-    marks = again.groupBy("id", "th").agg(F.collect_set("place").alias("marks"))
-    kept = docs.withColumns({"_id": F.col("doc_id"), "_th": F.xxhash64("text")})
-    kept = kept.join(marks, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_th") == F.col("th")), "left")
-    cut = F.arrow_udf(_without, _CUT)(F.coalesce("text", F.lit("")), F.col("marks"))
-    kept = kept.withColumn("_cut", cut)
-    kept = kept.withColumn("text", F.when(F.col("marks").isNotNull(), F.col("_cut.text")).otherwise(F.col("text")))
-    return kept.select(*docs.columns, F.col("_cut.n_sentences").alias("n_sentences"), F.size("_cut.removed").alias("n_removed"), F.col("_cut.removed").alias("removed"))
+    marks = again.groupBy(F.col("id").alias("marked"), F.col("th").alias("marked_th")).agg(F.collect_set("place").alias("marks"))
+    marks = store.save(marks, "marks")
+    store.drop("spans", "often", "repeated", "first")
+    kept = rows.join(marks, F.col("marked").eqNullSafe(F.col("id")) & (F.col("marked_th") == F.col("th")), "left")
+    cutter = F.arrow_udf(_without, _CUT).asNondeterministic()  # so that a filter on its result doesn't make Spark call it twice
+    kept = kept.select("row", "marks", cutter("text", "marks").alias("cut"))
+    text = F.when(F.col("marks").isNotNull(), F.col("cut.text")).otherwise(F.col("row.text"))
+    return kept.select(*fields("row", docs.columns, text=text), F.col("cut.n_sentences").alias("n_sentences"), F.size("cut.removed").alias("n_removed"), F.col("cut.removed").alias("removed"))

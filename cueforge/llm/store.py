@@ -2,25 +2,44 @@
 
 from __future__ import annotations
 
+import atexit
 import gc
+import shutil
 import tempfile
 import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct: carried so, none of them can clash with a name that an operator needs for itself."""
+    return F.struct(*(F.col(f"`{c}`") for c in df.columns))
+
+
+def fields(row: str, names: list[str], **other: Column) -> list[Column]:
+    """The columns of a struct column made by whole_row(), some of them exchanged."""
+    return [other[c].alias(c) if c in other else F.col(row)[c].alias(c) for c in names]
 
 
 class Store:
     """Tables of one operator run, under spark.checkpoint.dir.
 
-    A written table cuts the lineage: a lost executor costs at most the tasks of the step that was running.
-    Only where the session names no folder (as in tests) is a local temporary one used.
+    A written table cuts the lineage: a lost executor costs at most the tasks of the step that was running. Where the session
+    names no folder, a local session (as in tests) uses a temporary one, which is deleted at exit; a cluster is refused, since its
+    machines don't see each other's folders. Tables that an operator's result reads stay until the folder is cleared.
     """
 
     def __init__(self, spark: SparkSession, name: str):
-        top = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="cueforge-")
+        top = spark.conf.get("spark.checkpoint.dir", None)
+        if not top:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+            top = tempfile.mkdtemp(prefix="cueforge-")
+            atexit.register(shutil.rmtree, top, ignore_errors=True)
         self.spark = spark
         self.path = f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 

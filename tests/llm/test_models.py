@@ -78,21 +78,21 @@ def test_quality(spark):
     rows = [(i, " ".join(sentence(rng, 12) for _ in range(5)) if i % 3 else junk(rng), "s") for i in range(300)] + [(900, None, None), (901, "", "s"), (902, "x" * 5000, "s")]
     docs = corpus(spark, rows)
     labels = spark.createDataFrame([(i, int(i % 3 > 0), 0) for i in range(300)] + [(1, None, 0), (7777, 1, 1), (None, 1, 0)], "doc_id long, quality int, toxic int")
-    got = {r["doc_id"]: r for r in quality.classified(spark, docs, labels).collect()}
+    got = {r["doc_id"]: r for r in quality.classified(docs, labels).collect()}
     assert len(got) == len(rows) and all(0 <= r["score"] <= 1 for r in got.values())
     assert all(r["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0) for i, r in got.items())
     out = [(r["predicted"], int(i % 3 > 0)) for i, r in got.items() if r["held_out"] and i < 300]
     assert sum(a == b for a, b in out) > 0.95 * len(out)
-    kept = quality.accepted(spark, docs, labels)
+    kept = quality.accepted(docs, labels)
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {i for i, r in got.items() if r["predicted"]}
 
 
 def test_quality_of_one_class(spark):
     docs = corpus(spark, [(1, "a b", "s"), (2, None, "s")])
     one = spark.createDataFrame([(2, 0)], "doc_id long, quality int")
-    assert {r["score"] for r in quality.classified(spark, docs, one).collect()} == {0.0}
-    assert {r["score"] for r in quality.classified(spark, docs, one.where("false")).collect()} == {1.0}
-    assert quality.classified(spark, docs.where("false"), one).count() == 0
+    assert {r["score"] for r in quality.classified(docs, one).collect()} == {0.0}
+    assert {r["score"] for r in quality.classified(docs, one.where("false")).collect()} == {1.0}
+    assert quality.classified(docs.where("false"), one).count() == 0
 
 
 def test_scores_follow_the_densities():
