@@ -1,16 +1,17 @@
 """Token-id files compressed by a pair grammar (Re-Pair), one grammar for each shard.
 
-A shard holds about SHARD_IDS ids of whole documents. Each round counts all adjacent id pairs, gives the most
-frequent ones a nonterminal each, and replaces them; where two chosen pairs overlap, the more frequent one goes
-first and the other waits for the next round. Pairs never cross a document's end, so every document is a run of
-symbols of its own. A shard's file is, in little-endian numbers:
+A shard holds whole documents, about SHARD_IDS ids of them. Each round counts all adjacent pairs of symbols (occurrences that overlap count
+once), ranks those that occur twice or more by frequency, and replaces each occurrence that no better pair overlaps; a pair that would be
+replaced only once waits. Rounds go on until no pair occurs twice: the best one is replaced wherever it stands, so each round makes progress,
+and there is no limit on rounds, rules or symbols. Pairs never cross a document's end, so every document is a run of symbols of its own.
+The first rounds leave rare pairs alone (see FLOORS), so that frequent ones shape the grammar. A shard's file is, in little-endian numbers:
 
-    magic `CFRP`, then uint32: documents, rules, symbols, base (the first nonterminal), bytes of a symbol (2 or 4)
+    magic `CFR2`, then uint32: documents, rules, symbols, base (the first nonterminal), bytes of a symbol, bytes of a length
     int64 doc_id, uint32 ids, uint32 symbols       one of each for every document
-    symbol pairs of the rules; uint32 length of each rule's expansion; symbols of all documents
+    symbol pairs of the rules; length of each rule's expansion; symbols of all documents
 
-A document is decoded alone from its symbols and the rules. A shard is one binary value of a Parquet table, so that
-the files lie wherever Spark writes and survive lost executors.
+A document is decoded alone from its symbols and the rules, and a slice of it without expanding the rest, by the lengths. A shard is one
+binary value of a Parquet table, so that the files lie wherever Spark writes and survive lost executors.
 """
 
 from __future__ import annotations
@@ -28,65 +29,91 @@ from cueforge.llm import tokens
 from cueforge.llm.memory import lean
 from cueforge.llm.store import Store
 
-MAGIC, SHARD_IDS, ROUNDS, RULES_A_ROUND, LEAST = b"CFRP", 1_000_000, 5, 3000, 8
-_BUCKETS = 1 << 20
-
-
-def _frequent(pairs: np.ndarray, bucket: np.ndarray, valid: np.ndarray, room: int) -> np.ndarray:
-    """The most frequent pair keys, most frequent first, at most one of each bucket."""
-    counts = np.bincount(bucket[valid], minlength=_BUCKETS)
-    full = counts[counts >= LEAST]
-    if not len(full):
-        return np.zeros(0, np.int64)
-    floor = max(LEAST, int(np.partition(full, -room)[-room]) if len(full) > room else LEAST)
-    keys, n = np.unique(pairs[valid & (counts >= floor)[bucket]], return_counts=True)
-    keep = n >= LEAST
-    keys, n = keys[keep], n[keep]
-    keys = keys[np.lexsort((keys, -n))]
-    _, first = np.unique(_bucket(keys), return_index=True)
-    return keys[np.sort(first)][:room]
-
-
-def _bucket(pairs: np.ndarray) -> np.ndarray:
-    return ((pairs * np.int64(0x9E3779B97F4A7C15 - (1 << 64))) >> np.int64(40)).astype(np.int32) & np.int32(_BUCKETS - 1)
+MAGIC, SHARD_IDS, PART_BYTES = b"CFR2", 1_000_000, 256 << 20
+#: The least count of a pair that is replaced, by round; the last goes for all rounds after.
+FLOORS = (64, 8, 2)
+
+
+def _runs(key: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct keys, where each begins in the sorted order, and the places in that order."""
+    bits = max(1, int(place[-1]).bit_length()) if len(place) else 1
+    if int(key.max(initial=0)).bit_length() + bits <= 63:  # one sort of both together
+        both = np.sort(key << np.int64(bits) | place)
+        key, place = both >> np.int64(bits), both & np.int64((1 << bits) - 1)
+    else:
+        order = np.argsort(key, kind="stable")
+        key, place = key[order], place[order]
+    begin = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+    return key[begin], begin, place
+
+
+def _chosen(seq: np.ndarray, live: np.ndarray, floor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the pairs to replace, the rule (from 0) at each, and the rules. Places whose pair occurs once are no longer live."""
+    none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, 2), np.int64)
+    place = np.flatnonzero(live)
+    if not len(place):
+        return none
+    top = np.int64(int(seq.max()) + 1)
+    key = seq[place] * top + seq[place + 1]
+    same = np.flatnonzero((key[1:] == key[:-1]) & (place[1:] == place[:-1] + 1))  # a pair of one symbol, overlapping itself
+    if len(same):
+        run = np.flatnonzero(np.r_[True, np.diff(same) > 1])
+        odd = (np.arange(len(same)) - np.repeat(run, np.diff(np.r_[run, len(same)]))) % 2 == 0
+        free = np.ones(len(place), bool)
+        free[same[odd] + 1] = False
+        key, place = key[free], place[free]
+    keys, begin, place = _runs(key, place)
+    count = np.diff(np.r_[begin, len(place)])
+    live[place[begin[count == 1]]] = False
+    often = np.flatnonzero(count >= floor)
+    if not len(often):
+        return none
+    often = often[np.argsort(-count[often], kind="stable")]
+    size = count[often]
+    to = np.repeat(begin[often] - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum())
+    rank = np.full(len(seq) + 2, len(often), np.int32)
+    place, turn = place[to], np.repeat(np.arange(len(often), dtype=np.int32), size)
+    rank[place + 1] = turn
+    best = (turn < rank[place]) & (turn < rank[place + 2])
+    used = np.bincount(turn[best], minlength=len(often))
+    best &= used[turn] > 1
+    number = np.cumsum(used > 1) - 1
+    pairs = keys[often[used > 1]]
+    return place[best], number[turn[best]], np.stack([pairs // top, pairs % top], 1)
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols, their documents' ends among them, and the rules (pairs of symbols; rule r is symbol base + r).
 
-    ids: all documents' ids; ends: each document's end among them, in order.
+    ids: all documents' ids; ends: each document's end among them, in order. A pair that occurs once never occurs twice
+    later, unless one of its symbols is new: only places that may still repeat are live, and only these are sorted.
     """
-    seq, rules = ids.astype(np.int64), np.zeros((0, 2), np.int64)
-    last = np.zeros(len(seq) + 1, bool)
-    last[ends] = True  # at a document's end no pair begins before it
-    room_all = 65_536 - base if base < 65_536 else ROUNDS * RULES_A_ROUND
-    for _ in range(ROUNDS):
-        room = min(RULES_A_ROUND, room_all - len(rules))
-        if len(seq) < 2 or room <= 0:
-            break
-        pairs = seq[:-1] << np.int64(32) | seq[1:]
-        valid = ~last[1 : len(seq)]
-        bucket = _bucket(pairs)
-        best = _frequent(pairs, bucket, valid, room)
-        if not len(best):
-            break
-        turn = np.full(_BUCKETS, len(best), np.int32)
-        turn[_bucket(best)] = np.arange(len(best))
-        rank = turn[bucket]
-        near = np.flatnonzero(rank < len(best))
-        rank[near[(best[rank[near]] != pairs[near]) | ~valid[near]]] = len(best)
-        before, after = np.r_[len(best), rank[:-1]], np.r_[rank[1:], len(best)]
-        at = np.flatnonzero((rank < len(best)) & (rank < before) & (rank <= after))
-        seq[at] = base + len(rules) + rank[at]
-        rules = np.concatenate([rules, np.stack([best >> np.int64(32), best & np.int64(0xFFFFFFFF)], 1)])
+    seq, rules, made, turn = ids.astype(np.int64), [np.zeros((0, 2), np.int64)], 0, 0
+    open_, live = np.ones(len(seq) + 1, bool), np.ones(len(seq), bool)  # whether a pair may begin before, and at, a place
+    open_[ends], open_[-1] = False, False
+    live &= open_[1:]
+    while True:
+        floor = FLOORS[min(turn, len(FLOORS) - 1)]
+        at, rule, new = _chosen(seq, live, floor)
+        turn += 1
+        if not len(at):
+            if floor == FLOORS[-1]:
+                break
+            continue
+        seq[at] = base + made + rule
+        rules.append(new)
+        made += len(new)
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
-        new = np.r_[0, np.cumsum(keep)]
-        ends = new[ends]
-        seq = seq[keep]
-        last = np.zeros(len(seq) + 1, bool)
-        last[ends] = True
-    return seq, ends, rules
+        live[at] = True
+        live[at[at > 0] - 1] = True
+        shift = np.cumsum(keep)
+        ends = np.r_[0, shift][ends]
+        seq, live = seq[keep], live[keep]
+        open_ = np.ones(len(seq) + 1, bool)
+        open_[ends], open_[-1] = False, False
+        live &= open_[1:]
+    return seq, ends, np.concatenate(rules)
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
@@ -115,15 +142,30 @@ def _lengths(rules: np.ndarray, base: int) -> np.ndarray:
     return size[base:]
 
 
+def _width(x: np.ndarray) -> int:
+    """The fewest bytes that hold all of these numbers, 1 to 8."""
+    return max(1, (int(x.max(initial=0)).bit_length() + 7) // 8)
+
+
+def _packed(x: np.ndarray, width: int) -> bytes:
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
+
+
+def _unpacked(data: memoryview, width: int) -> np.ndarray:
+    out = np.zeros((len(data) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(data, np.uint8).reshape(-1, width)
+    return out.view("<i8").ravel()
+
+
 def write_shard(doc_ids: list[int], docs: list[np.ndarray], base: int) -> bytes:
     """The file of a shard."""
     sizes = np.array([len(x) for x in docs], np.int64)
     ends = np.cumsum(sizes)
     symbols, cuts, rules = compress(np.concatenate([np.zeros(0, np.uint32), *docs]), ends, base)
-    kind = np.dtype("<u2") if base + len(rules) <= 65_536 else np.dtype("<u4")
-    head = MAGIC + struct.pack("<5I", len(docs), len(rules), len(symbols), base, kind.itemsize)
-    parts = (np.array(doc_ids, "<i8"), sizes.astype("<u4"), np.diff(cuts, prepend=0).astype("<u4"), rules.astype(kind), _lengths(rules, base).astype("<u4"), symbols.astype(kind))
-    return head + b"".join(x.tobytes() for x in parts)
+    lengths = _lengths(rules, base)
+    wide, long = max(_width(rules), _width(symbols)), _width(lengths)
+    head = MAGIC + struct.pack("<6I", len(docs), len(rules), len(symbols), base, wide, long)
+    return head + b"".join((np.array(doc_ids, "<i8").tobytes(), sizes.astype("<u4").tobytes(), np.diff(cuts, prepend=0).astype("<u4").tobytes(), _packed(rules.ravel(), wide), _packed(lengths, long), _packed(symbols, wide)))
 
 
 class Shard:
@@ -132,17 +174,14 @@ class Shard:
     def __init__(self, data: bytes | memoryview):
         if bytes(data[:4]) != MAGIC:
             raise ValueError("not a token shard")
-        n, r, m, self.base, wide = struct.unpack("<5I", data[4:24])
-        at, kind = 24, f"<u{wide}"
-
-        def take(dtype: str, count: int) -> np.ndarray:
-            nonlocal at
-            x = np.frombuffer(data, dtype, count, at)
-            at += x.nbytes
-            return x
-
-        self.doc_ids, self.sizes, runs = take("<i8", n), take("<u4", n), take("<u4", n)
-        self.rules, self.lengths, self.symbols = take(kind, 2 * r).reshape(r, 2).astype(np.int64), take("<u4", r), take(kind, m)
+        n, r, m, self.base, wide, long = struct.unpack("<6I", data[4:28])
+        self.doc_ids, self.sizes, runs = np.frombuffer(data, "<i8", n, 28), np.frombuffer(data, "<u4", n, 28 + 8 * n), np.frombuffer(data, "<u4", n, 28 + 12 * n)
+        view, at = memoryview(data), 28 + 16 * n
+        parts = []
+        for count, width in ((2 * r, wide), (r, long), (m, wide)):
+            parts.append(_unpacked(view[at : at + count * width], width))
+            at += count * width
+        self.rules, self.lengths, self.symbols = parts[0].reshape(r, 2), parts[1], parts[2]
         self.cuts = np.r_[0, np.cumsum(runs, dtype=np.int64)]
 
     def ids(self, i: int) -> np.ndarray:
@@ -227,5 +266,6 @@ def read_ids(shards: DataFrame) -> DataFrame:
 def encoded(spark: SparkSession, docs: DataFrame, path: str, end_id: int = 1) -> DataFrame:
     """Write docs (doc_id, text) as compressed id files and read them back; see write_ids() and read_ids()."""
     store = Store(spark, "token-ids")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
     return read_ids(store.save(write_ids(docs, path, end_id, parts), "shards"))

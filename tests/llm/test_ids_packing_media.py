@@ -134,3 +134,39 @@ def test_stored(spark):
 
 def test_vocabulary():
     assert tokens.vocabulary(PATH) == 49_408
+
+
+def _pairs(symbols, ends):
+    """How often each pair of neighbours occurs without overlaps, document by document."""
+    seen, starts = {}, [0, *ends[:-1]]
+    for a, b in zip(starts, ends, strict=True):
+        before = None
+        for k in range(a, b - 1):
+            pair = (symbols[k], symbols[k + 1])
+            if before == (k - 1, pair):
+                before = None
+                continue
+            seen[pair], before = seen.get(pair, 0) + 1, (k, pair)
+    return seen
+
+
+@pytest.mark.parametrize("alphabet", [2, 7, 300])
+def test_no_pair_is_left_twice(alphabet):
+    rng = np.random.default_rng(alphabet)
+    docs = [rng.integers(0, alphabet, n).astype(np.uint32) for n in (0, 1, 2, 900, 0, 3000)]
+    docs += [docs[3], docs[5][100:2000], np.full(777, 1, np.uint32)]
+    ends = np.cumsum([len(d) for d in docs])
+    symbols, cuts, rules = repair.compress(np.concatenate(docs), ends, alphabet)
+    assert max(_pairs(symbols.tolist(), cuts.tolist()).values(), default=0) <= 1
+    assert repair.expand(symbols, rules, alphabet).tolist() == np.concatenate(docs).tolist()
+
+
+def test_a_repeated_block_is_stored_once():
+    block = np.random.default_rng(1).integers(5, 49_000, 20_000).astype(np.uint32)
+    symbols, _, rules = repair.compress(np.tile(block, 5), np.array([100_000]), 49_408)
+    assert len(symbols) <= 5 and len(rules) < 1.01 * len(block)
+
+
+def test_long_runs_take_few_rules():
+    symbols, _, rules = repair.compress(np.full(100_000, 7, np.uint32), np.array([100_000]), 10)
+    assert len(symbols) + len(rules) < 60
