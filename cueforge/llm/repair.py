@@ -29,7 +29,7 @@ from cueforge.llm import tokens
 from cueforge.llm.memory import lean
 from cueforge.llm.store import Store
 
-MAGIC, SHARD_IDS, PART_BYTES = b"CFR2", 1_000_000, 256 << 20
+MAGIC, SHARD_IDS, PART_BYTES = b"CFR2", 1_000_000, 128 << 20
 #: The least count of a pair that is replaced, by round; the last goes for all rounds after.
 FLOORS = (64, 8, 2)
 
@@ -107,11 +107,9 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray,
         keep[at + 1] = False
         live[at] = True
         live[at[at > 0] - 1] = True
-        shift = np.cumsum(keep)
-        ends = np.r_[0, shift][ends]
-        seq, live = seq[keep], live[keep]
-        open_ = np.ones(len(seq) + 1, bool)
-        open_[ends], open_[-1] = False, False
+        stay = np.flatnonzero(keep)
+        ends = np.searchsorted(stay, ends)
+        seq, live, open_ = seq[stay], live[stay], np.r_[open_[stay], False]
         live &= open_[1:]
     return seq, ends, np.concatenate(rules)
 
@@ -130,18 +128,30 @@ def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
     return seq.astype(np.uint32)
 
 
+def _levels(rules: np.ndarray, base: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rules that use only rules before the range."""
+    most, done = rules.max(1) if len(rules) else np.zeros(0, np.int64), 0
+    while done < len(rules):
+        uses = np.flatnonzero(most[done:] >= base + done)
+        stop = done + int(uses[0]) if len(uses) else len(rules)
+        yield done, stop
+        done = stop
+
+
 def _lengths(rules: np.ndarray, base: int) -> np.ndarray:
     """Each rule's expanded length; a rule only uses earlier rules."""
     size = np.ones(base + len(rules), np.int64)
-    done = 0
-    while done < len(rules):  # all rules up to the first that uses one of these
-        uses = np.flatnonzero(rules[done:].max(1) >= base + done)
-        stop = done + int(uses[0]) if len(uses) else len(rules)
-        size[base + done : base + stop] = size[rules[done:stop]].sum(1)
-        done = stop
+    for a, b in _levels(rules, base):
+        size[base + a : base + b] = size[rules[a:b]].sum(1)
     return size[base:]
 
 
+def _gather(table: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Runs of a table, one after the other."""
+    end = np.cumsum(size)
+    return table[np.repeat(start - (end - size), size) + np.arange(end[-1] if len(end) else 0)]
+
+
 def _width(x: np.ndarray) -> int:
     """The fewest bytes that hold all of these numbers, 1 to 8."""
     return max(1, (int(x.max(initial=0)).bit_length() + 7) // 8)
@@ -188,7 +198,16 @@ class Shard:
         return expand(self.symbols[self.cuts[i] : self.cuts[i + 1]], self.rules, self.base)
 
     def all_ids(self) -> np.ndarray:
-        return expand(self.symbols, self.rules, self.base)
+        """Every document's ids: rules are expanded once each, then copied to where they stand."""
+        size = np.r_[np.ones(self.base, np.int64), self.lengths]
+        start = np.r_[np.arange(self.base), self.base + np.cumsum(self.lengths) - self.lengths]
+        table = np.zeros(self.base + self.lengths.sum(), np.uint32)
+        table[: self.base] = np.arange(self.base)
+        for a, b in _levels(self.rules, self.base):
+            pair = self.rules[a:b].ravel()
+            own = _gather(table, start[pair], size[pair])
+            table[start[self.base + a] : start[self.base + a] + len(own)] = own
+        return _gather(table, start[self.symbols], size[self.symbols])
 
     def slice(self, i: int, start: int, stop: int) -> np.ndarray:
         """Ids start to stop of document i; expands only the symbols that these reach into."""
@@ -266,6 +285,6 @@ def read_ids(shards: DataFrame) -> DataFrame:
 def encoded(spark: SparkSession, docs: DataFrame, path: str, end_id: int = 1) -> DataFrame:
     """Write docs (doc_id, text) as compressed id files and read them back; see write_ids() and read_ids()."""
     store = Store(spark, "token-ids")
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))  # an estimate; only tasks follow it
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(100_000, -(-size // PART_BYTES)))
     return read_ids(store.save(write_ids(docs, path, end_id, parts), "shards"))

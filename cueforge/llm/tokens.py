@@ -16,7 +16,7 @@ import pyarrow as pa
 
 from cueforge.llm.words import buffers, word_spans
 
-PIECE, KEPT, AT_ONCE = 4 << 20, 1_200_000, 20_000
+PIECE, KEPT, AT_ONCE, SLOT_BITS = 4 << 20, 1_200_000, 20_000, 20
 _letter, _other = np.zeros(256, bool), np.zeros(256, bool)
 _letter[65:91] = _letter[97:123] = True
 _other[33:127] = ~_letter[33:127]
@@ -46,49 +46,77 @@ def _one_run(word: str) -> bool:
     return word.isalpha() and (word.isascii() or unicodedata.normalize("NFC", word).lower().isalpha())
 
 
-def _encode_words(path: str, words: list[str]) -> list[np.ndarray]:
-    """Each word's ids."""
+def _encode_words(path: str, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of all words, and where each word's begin in them and how many they are."""
     tok, number, mark, ends = _tokenizer(path)
-    ids: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(words)
+    begin, size, out, held = np.zeros(len(words), np.int64), np.zeros(len(words), np.int32), [np.zeros(0, np.uint32)], 0
     runs = np.fromiter(map(_one_run, words), bool, len(words))
     special = np.fromiter(("<|" in w for w in words), bool, len(words))
     for kind, gap in ((runs, " "), (~runs & ~special, f" {mark} ")):
         own = np.flatnonzero(kind)
         for lo in range(0, len(own), AT_ONCE):
-            part = own[lo : lo + AT_ONCE].tolist()
-            got = np.array(tok.encode(gap.join(words[i] for i in part), add_special_tokens=False).ids, np.uint32)
-            cuts = np.flatnonzero(ends[got])[:-1] + 1 if gap == " " else np.flatnonzero(got == number)
-            split = np.split(got, cuts)
-            if len(split) != len(part):
+            part = own[lo : lo + AT_ONCE]
+            got = np.array(tok.encode(gap.join([words[i] for i in part.tolist()]), add_special_tokens=False).ids, np.uint32)
+            if gap == " ":  # the last id of a word ends it
+                stop = np.flatnonzero(ends[got]) + 1
+                start = np.r_[0, stop[:-1]]
+            else:
+                cut = np.flatnonzero(got == number)
+                start, stop = np.r_[0, cut + 1], np.r_[cut, len(got)]
+            if len(start) != len(part):
                 special[part] = True
                 continue
-            for k, (i, x) in enumerate(zip(part, split, strict=True)):
-                ids[i] = x if gap == " " or k == 0 else x[1:]
+            begin[part], size[part] = held + start, stop - start
+            out.append(got)
+            held += len(got)
     for i in np.flatnonzero(special).tolist():
-        ids[i] = np.array(tok.encode(words[i], add_special_tokens=False).ids, np.uint32)
-    return ids
+        got = np.array(tok.encode(words[i], add_special_tokens=False).ids, np.uint32)
+        begin[i], size[i] = held, len(got)
+        out.append(got)
+        held += len(got)
+    return np.concatenate(out), begin, size
 
 
 class _Seen:
-    """The ids of words by hash, in sorted arrays; forgets all when it has more than KEPT words."""
+    """The ids of words by hash; forgets all when it has more than KEPT words.
+
+    A table of slots by the hash's highest bits finds nearly all words at once: the first word of a slot keeps it, and
+    frequent words come early. Other words are searched for in sorted order.
+    """
 
     def __init__(self) -> None:
-        self.hash, self.at, self.size, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.uint32)
+        self.hash, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.uint32)
+        self.at, self.size = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.slots, self.taken = np.zeros(1 << SLOT_BITS, np.int32), np.zeros(1 << SLOT_BITS, bool)
+        self.ordered, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int32)
 
-    def find(self, h: np.ndarray) -> np.ndarray:
-        """Places in the arrays of sorted hashes; -1 where unknown."""
-        at = np.searchsorted(self.hash, h)
-        if not len(self.hash):
-            return np.full(len(h), -1)
-        return np.where(self.hash[np.minimum(at, len(self.hash) - 1)] == h, at, -1)
+    @staticmethod
+    def _slot(h: np.ndarray) -> np.ndarray:
+        return (h >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
-    def add(self, h: np.ndarray, ids: list[np.ndarray]) -> None:
-        size = np.fromiter(map(len, ids), np.int32, len(ids))
-        place = np.searchsorted(self.hash, h)
-        self.hash = np.insert(self.hash, place, h)
-        self.at = np.insert(self.at, place, len(self.ids) + np.cumsum(size) - size)
-        self.size = np.insert(self.size, place, size)
-        self.ids = np.concatenate([self.ids, *ids]) if ids else self.ids
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places in the arrays of words, and for the unknown ones among h: the distinct hashes, and where each is first."""
+        if not len(self.hash):
+            return np.zeros(len(h), np.int32), *np.unique(h, return_index=True)
+        at = self.slots[self._slot(h)]
+        miss = np.flatnonzero(self.hash[at] != h)
+        own, first, which = np.unique(h[miss], return_index=True, return_inverse=True)
+        near = np.minimum(np.searchsorted(self.ordered, own), len(self.ordered) - 1)
+        at[miss] = self.place[near][which]
+        new = self.ordered[near] != own
+        return at, own[new], miss[first[new]]
+
+    def add(self, h: np.ndarray, ids: np.ndarray, begin: np.ndarray, size: np.ndarray) -> None:
+        """h: ascending, none known yet."""
+        place = np.arange(len(self.hash), len(self.hash) + len(h), dtype=np.int32)
+        to = np.searchsorted(self.ordered, h)
+        self.ordered, self.place = np.insert(self.ordered, to, h), np.insert(self.place, to, place)
+        self.hash, self.at, self.size = np.r_[self.hash, h], np.r_[self.at, len(self.ids) + begin], np.r_[self.size, size]
+        self.ids = np.concatenate([self.ids, ids])
+        slot = self._slot(h)
+        free = ~self.taken[slot]
+        self.slots[slot[free]] = place[free]
+        self.taken[slot] = True
 
 
 _seen: dict[tuple[str, bool], _Seen] = {}
@@ -104,19 +132,17 @@ def encode(column: pa.Array, path: str) -> Iterator[np.ndarray]:
         raw = part.tobytes()
         fold = b"<|" not in raw  # names of special tokens have a case
         h, s, e, at = word_spans(part, offsets[lo : hi + 1] - offsets[lo], fold, (_letter, _other) if fold else None)
-        own, first, which = np.unique(h, return_index=True, return_inverse=True)
         seen = _seen.setdefault((path, fold), _Seen())
-        new = np.flatnonzero(seen.find(own) < 0)
+        place, new, first = seen.find(h)
         if len(new) + len(seen.hash) > KEPT:
             seen.__init__()
-            new = np.arange(len(own))
+            place, new, first = seen.find(h)
         if len(new):
-            spans = zip(s[first[new]].tolist(), e[first[new]].tolist(), strict=True)
-            seen.add(own[new], _encode_words(path, [raw[a:b].decode() for a, b in spans]))
-        place = seen.find(own)
-        size = seen.size[place][which]
+            seen.add(new, *_encode_words(path, [raw[a:b].decode() for a, b in zip(s[first].tolist(), e[first].tolist(), strict=True)]))
+            place, _, _ = seen.find(h)
+        size = seen.size[place]
         end = np.r_[0, np.cumsum(size, dtype=np.int64)]
-        flat = seen.ids[np.repeat(seen.at[place][which] - end[:-1], size) + np.arange(end[-1])]
+        flat = seen.ids[np.repeat(seen.at[place] - end[:-1], size) + np.arange(end[-1])]
         stops = end[at]
         for d in range(hi - lo):
             yield flat[stops[d] : stops[d + 1]]
