@@ -36,14 +36,53 @@ def test_no_texts(spark):
     assert pitman_yor.scored(spark, corpus(spark, [(0, None, None), (None, "", None)])).count() == 2
 
 
-def test_seating():
-    rng = np.random.default_rng(1)
-    c = np.array([0, 1, 2, 50, 5000])
-    t = seat = pitman_yor.seat(c, np.full(5, 1.0), 0.5, rng)
-    assert seat[:2].tolist() == [0, 1] and (t[1:] >= 1).all() and (t <= c).all()
-    # two customers: the second takes a new table with probability fresh / (fresh + 1 - d)
-    many = pitman_yor.seat(np.full(20_000, 2), np.full(20_000, 1.0), 0.5, rng)
-    assert abs(many.mean() - 1 - 1 / 1.5) < 0.02
+def seated_one_by_one(c, fresh, each, d, rng):
+    """Tables of one dish, customer by customer."""
+    t = min(c, 1)
+    for i in range(1, c):
+        a = fresh + each * t
+        t += rng.random() < a / (a + i - d * t)
+    return t
+
+
+@pytest.mark.parametrize(("c", "fresh", "each", "d"), [(2, 1.0, 0.5, 0.5), (3, 0.02, 0.01, 0.9), (40, 2.5, 0.3, 0.7), (400, 0.4, 0.2, 0.3), (33, 30.0, 0.9, 0.95)])
+def test_seating_is_that_of_customers_one_by_one(c, fresh, each, d):
+    rng, n = random.Random(c), 4000
+    key = pitman_yor.seeds(n, 900 + c)
+    got = pitman_yor.seat(np.full(n, c), np.full(n, fresh), np.full(n, each), d, key)
+    plain = np.array([seated_one_by_one(c, fresh, each, d, rng) for _ in range(n)])
+    error = np.hypot(got.std(), plain.std()) / math.sqrt(n)
+    assert abs(got.mean() - plain.mean()) < 5 * error + 1e-9 and abs(got.std() - plain.std()) < 0.1 * plain.std() + 0.02
+    assert (got == pitman_yor.seat(np.full(n, c), np.full(n, fresh), np.full(n, each), d, key)).all()
+
+
+def test_seating_of_any_number():
+    c = np.array([0, 1, 2, 50, 5000, 10**7, 6 * 10**9])
+    t = pitman_yor.seat(c, np.full(7, 1.0), np.full(7, 0.1), 0.5, pitman_yor.seeds(7))
+    assert t[:2].tolist() == [0, 1] and (t[1:] >= 1).all() and (t <= c).all() and t[5] > t[3]
+    x = np.array([0.05, 0.5, 1, 2.5, 9, 400.25, 1e6])
+    assert pitman_yor.lgamma(x) == pytest.approx([math.lgamma(v) for v in x], rel=1e-9, abs=1e-9)
+
+
+def test_counts_above_32_bits():
+    import pyarrow as pa
+
+    n = np.array([5_000_000_000, 3], np.int64)
+    data = pitman_yor._request(np.array([64, 128], np.uint64), np.array([0, 1], np.uint16), n)
+    assert pitman_yor._open_request(pa.py_buffer(data))[3].tolist() == n.tolist()
+
+
+def test_scores_do_not_depend_on_the_partitions(spark):
+    rows = [(i, t, s) for i, (_, t, s) in enumerate(awkward(30))]
+    key, got = "spark.sql.shuffle.partitions", []
+    old = spark.conf.get(key)
+    try:
+        for n in ("4", "40"):
+            spark.conf.set(key, n)
+            got.append({r["doc_id"]: r["score"] for r in pitman_yor.scored(spark, corpus(spark, rows), frequent=30).collect()})
+    finally:
+        spark.conf.set(key, old)
+    assert got[0].keys() == got[1].keys() and all(got[1][i] == pytest.approx(x, rel=1e-9) for i, x in got[0].items())
 
 
 def test_probabilities_sum_to_one():
@@ -60,12 +99,12 @@ def test_probabilities_sum_to_one():
     head = np.array([0, len(request)], "<i8").tobytes() + request
     import pyarrow as pa
 
-    own = pitman_yor._Range(pa.py_buffer(head), 0, frequent, 50, 1)
+    own = pitman_yor._Range(pa.py_buffer(head), frequent, 50, 1)
     own.start()
     past = [pitman_yor.totals(own.sums(), len(frequent) + 1)]
     for turn in range(3):
         own.sweep(past[-1], turn)
-        past.append(pitman_yor.totals(own.sums(), len(frequent) + 1, past[0].discount))
+        past.append(pitman_yor.totals(own.sums(), len(frequent) + 1))
     assert own.predict(past[-1]).reshape(51, contexts).sum(0) == pytest.approx(np.ones(contexts))
 
 
