@@ -9,13 +9,13 @@ are at most those postings over l. A pair is verified if it shares at least min(
 
 Flow, all in blocks of bounded size:
 
-1.  A scan packs each block's (shingle, document) postings into one binary row for each hash range: 8 bytes each.
-    Equal sets inside a block are one entry.
+1.  A scan packs each block's (shingle, document) postings into one binary row for each hash range: whole 64-bit hashes,
+    stored as differences. Equal sets inside a block are one entry.
 2.  Each hash range finds the shingles with two or more postings and returns only those to their blocks. A shingle
     held by one document can match nothing; it only counts as a prefix place. Most documents end here: their
     prefix has no shared shingle.
 3.  The rest, one row for each distinct set, are joined into groups by shared prefix shingles (graph.components;
-    each shingle gives a star, not all pairs), and groups are cut into tiles of at most `tile` sets.
+    each shingle gives a star, not all pairs), and groups are cut into tiles of about `tile` sets or TILE_BYTES at most.
 4.  Each pair of tiles of a group is one task: it counts shared prefix shingles, verifies candidates that aren't
     connected yet against whole sets, and returns the links found; components of these are the result.
 
@@ -37,12 +37,12 @@ from pyspark.sql import functions as F
 
 from cueforge.llm.graph import components
 from cueforge.llm.memory import lean, lean_group
-from cueforge.llm.store import Store
+from cueforge.llm.store import ROWS, Store, rows_at_once
 from cueforge.llm.words import mix, pieces, shingles, word_spans
 
 _U = np.uint64
 BLOCK_POSTINGS, BLOCK_DOCS, RANGE_POSTINGS, CHARS_PER_WORD, PIECE = 1_500_000, 1 << 16, 1_500_000, 6, 8 << 20
-COST_OF_CHECK, NO_ID = 8, -(1 << 63)
+COST_OF_CHECK, NO_ID, TILE_BYTES = 8, -(1 << 63), 16 << 20
 
 
 def least_shared(n, threshold: int):
@@ -75,12 +75,29 @@ def _postings(width: int, ranges: int):
     return scan
 
 
+def _packed(keys: np.ndarray, *others: np.ndarray) -> bytes:
+    """Ascending 64-bit hashes as differences, byte plane by byte plane (the highest are zeros, which compress), and other arrays."""
+    planes = np.diff(keys, prepend=_U(0)).view(np.uint8).reshape(-1, 8).T
+    return planes.tobytes() + b"".join(x.tobytes() for x in others)
+
+
+def _opened(data: pa.Buffer, *kinds: str) -> list[np.ndarray]:
+    """What _packed() made, with the kinds of the other arrays."""
+    n = len(data) // (8 + sum(np.dtype(k).itemsize for k in kinds))
+    keys = np.cumsum(np.ascontiguousarray(np.frombuffer(data, np.uint8, 8 * n).reshape(8, n).T).view(_U).ravel(), dtype=_U)
+    out, at = [keys], 8 * n
+    for kind in kinds:
+        out.append(np.frombuffer(data, kind, n, at))
+        at += out[-1].nbytes
+    return out
+
+
 def _block(block: int, ids: np.ndarray, runs: np.ndarray, at: np.ndarray, ranges: int) -> pa.RecordBatch:
     """Rows (block, rng, data): the block's documents under a range below 0, its postings by hash range."""
     m = len(ids)
     head = np.zeros((m, 3), np.int64)  # doc_id, signature of the set, size of the set
     head[:, 0] = ids
-    seen, parts = set(), []
+    seen, parts, owner = set(), [np.zeros(0, _U)], [np.zeros(0, np.uint16)]
     for d in range(m):
         own = np.unique(runs[at[d] : at[d + 1]])
         if not len(own):
@@ -89,12 +106,15 @@ def _block(block: int, ids: np.ndarray, runs: np.ndarray, at: np.ndarray, ranges
         head[d, 1:] = np.array([sign], _U).view(np.int64)[0], len(own)
         if sign not in seen:
             seen.add(sign)
-            parts.append((own >> _U(16) << _U(16)) | _U(d))
-    keys = np.sort(np.concatenate(parts)) if parts else np.zeros(0, _U)
+            parts.append(own)
+            owner.append(np.full(len(own), d, np.uint16))
+    keys, owner = np.concatenate(parts), np.concatenate(owner)
+    order = np.argsort(keys, kind="stable")
+    keys, owner = keys[order], owner[order]
     rng = ((keys >> _U(32)) * _U(ranges)) >> _U(32)
     cut = np.searchsorted(rng, np.arange(ranges + 1, dtype=_U))
     full = np.flatnonzero(np.diff(cut))
-    data = [head.tobytes(), *(keys[cut[r] : cut[r + 1]].tobytes() for r in full)]
+    data = [head.tobytes(), *(_packed(keys[cut[r] : cut[r + 1]], owner[cut[r] : cut[r + 1]]) for r in full)]
     spread = -1 - block % 65_521
     return pa.record_batch([pa.array([block] * len(data), pa.int64()), pa.array([spread, *full.tolist()], pa.int64()), pa.array(data, pa.binary())], names=["block", "rng", "data"])
 
@@ -103,20 +123,21 @@ def _shared(table: pa.Table) -> pa.Table:
     """One hash range: to each block its postings of shingles with two or more, each with that number."""
     if len(table) and table["rng"][0].as_py() < 0:
         return table.select(["block", "rng", "data"])
-    blocks, blobs = table["block"].to_pylist(), [np.frombuffer(x.as_buffer(), _U) for x in table["data"]]
-    keys = np.concatenate(blobs)
-    owner = np.repeat(np.arange(len(blobs)), [len(b) for b in blobs])
+    blocks, parts = table["block"].to_pylist(), [_opened(x.as_buffer(), "<u2") for x in table["data"]]
+    keys, doc = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+    owner = np.repeat(np.arange(len(parts), dtype=np.int32), [len(p[0]) for p in parts])
+    del parts
     order = np.argsort(keys, kind="stable")
-    keys, owner = keys[order], owner[order]
-    first = np.flatnonzero(np.r_[True, (keys[1:] >> _U(16)) != (keys[:-1] >> _U(16))])
-    df = np.repeat(np.diff(np.r_[first, len(keys)]), np.diff(np.r_[first, len(keys)]))
-    keep = df > 1
-    keys, owner, df = keys[keep], owner[keep], df[keep].astype(_U)
-    order = np.argsort(owner, kind="stable")
-    keys, owner, df = keys[order], owner[order], df[order]
-    cut = np.searchsorted(owner, np.arange(len(blobs) + 1))
+    keys = keys[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    df = np.diff(np.r_[first, len(keys)])
+    keep = np.repeat(df > 1, df)
+    keys, order, df = keys[keep], order[keep], np.repeat(df, df)[keep]
+    by = np.argsort(owner[order], kind="stable")  # hashes stay in order in each block
+    keys, doc, owner, df = keys[by], doc[order[by]], owner[order[by]], np.minimum(df[by], 0xFFFFFFFF).astype("<u4")
+    cut = np.searchsorted(owner, np.arange(len(blocks) + 1))
     full = np.flatnonzero(np.diff(cut))
-    data = [np.concatenate([keys[cut[i] : cut[i + 1]], df[cut[i] : cut[i + 1]]]).tobytes() for i in full]
+    data = [_packed(keys[cut[i] : cut[i + 1]], doc[cut[i] : cut[i + 1]], df[cut[i] : cut[i + 1]]) for i in full]
     return pa.table([pa.array([blocks[i] for i in full], pa.int64()), pa.array([0] * len(full), pa.int64()), pa.array(data, pa.binary())], names=["block", "rng", "data"])
 
 
@@ -128,18 +149,18 @@ def _gathered(threshold: int):
             if rng < 0:
                 head = np.frombuffer(x.as_buffer(), np.int64).reshape(-1, 3)
             else:
-                parts.append(np.frombuffer(x.as_buffer(), _U).reshape(2, -1))
-        both = np.concatenate(parts, axis=1) if parts else np.zeros((2, 0), _U)
-        doc = (both[0] & _U(0xFFFF)).astype(np.int64)
-        order = np.lexsort((both[0], both[1], doc))
-        keys, df, doc = both[0][order] >> _U(16), both[1][order], doc[order]
+                parts.append(_opened(x.as_buffer(), "<u2", "<u4"))
+        parts.append([np.zeros(0, _U), np.zeros(0, np.uint16), np.zeros(0, np.uint32)])
+        keys, doc, df = (np.concatenate([p[k] for p in parts]) for k in range(3))
+        order = np.lexsort((keys, df, doc))
+        keys, df, doc = keys[order], df[order], doc[order]
         cut = np.searchsorted(doc, np.arange(len(head) + 1))
         sets, freq = [], []
         for d, n in enumerate(head[:, 2]):
             own = cut[d + 1] - cut[d]
             alive = own > 0 and n - own < prefix_places(int(n), threshold)
             sets.append(keys[cut[d] : cut[d + 1]].tobytes() if alive else None)
-            freq.append(df[cut[d] : cut[d + 1]].astype(np.uint32).tobytes() if alive else None)
+            freq.append(df[cut[d] : cut[d + 1]].tobytes() if alive else None)
         return pa.table([pa.array(head[:, 0], mask=head[:, 0] == NO_ID), pa.array(head[:, 1]), pa.array(head[:, 2]), pa.array(sets, pa.binary()), pa.array(freq, pa.binary())], names=["doc_id", "sig", "n", "shared", "df"])
 
     return gather
@@ -234,7 +255,8 @@ def jaccard_classes(spark: SparkSession, docs: DataFrame, threshold: int = 80, w
     posted = texts.mapInArrow(lean(_postings(width, ranges)), rows)
     shared = posted.groupBy("rng").applyInArrow(lean_group(_shared), rows)
     members = shared.groupBy("block").applyInArrow(lean_group(_gathered(threshold)), "doc_id long, sig long, n long, shared binary, df binary")
-    members = store.save(members, "members")
+    with rows_at_once(spark, ROWS):
+        members = store.save(members, "members")
     alive = members.where("shared is not null").groupBy("sig").agg(F.first("n").alias("n"), F.first("shared").alias("shared"), F.first("df").alias("df"))
     alive = store.save(alive, "alive")
     stars = alive.select("sig", "n", "shared").mapInArrow(lean(_stars(threshold)), "key long, sig long")
@@ -242,7 +264,8 @@ def jaccard_classes(spark: SparkSession, docs: DataFrame, threshold: int = 80, w
     hubs = stars.groupBy("key").agg(F.min("sig").alias("hub"), F.count("*").alias("k")).where("k > 1")
     edges = stars.join(hubs, "key").where("sig > hub").select(F.col("sig").alias("a"), F.col("hub").alias("b"))
     groups = store.save(components(edges, store, "group"), "groups")
-    sizes = groups.groupBy("label").agg(F.count("*").alias("m")).withColumn("tiles", F.ceil(F.col("m") / tile).cast("int"))
+    sizes = groups.join(alive.select(F.col("sig").alias("node"), F.octet_length("shared").alias("bytes")), "node").groupBy("label").agg(F.count("*").alias("m"), F.sum("bytes").alias("bytes"))
+    sizes = sizes.select("label", F.greatest(F.ceil(F.col("m") / tile), F.ceil(F.col("bytes") / TILE_BYTES)).cast("int").alias("tiles"))
     tiled = groups.join(sizes, "label").withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
     tiled = tiled.select("label", F.col("node").alias("sig"), "tile", other.alias("other"))

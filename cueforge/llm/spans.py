@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cueforge.llm.memory import lean, release
-from cueforge.llm.store import Store, fields, whole_row
+from cueforge.llm.store import ROWS, Store, fields, rows_at_once, whole_row
 from cueforge.llm.words import _power, buffers, mix, pieces, word_spans
 
 RUN, LEAST_WORDS, SPAN_WORDS, LONG, WINDOW = 3, 15, 19, 16, 8
@@ -138,7 +138,8 @@ def deduplicated(spark: SparkSession, docs: DataFrame, run: int = RUN, least_wor
     store = Store(spark, "spans")
     rows = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("th"), F.coalesce("text", F.lit("")).alias("text"), whole_row(docs).alias("row"))
     schema = T.StructType([T.StructField("id", docs.schema["doc_id"].dataType), *(T.StructField(c, T.LongType()) for c in ("th", "place", "hash"))])
-    spans = store.save(rows.select("id", "th", "text").mapInArrow(lean(_scan(run, least_words, span_words)), schema), "spans")
+    with rows_at_once(spark, ROWS):
+        spans = store.save(rows.select("id", "th", "text").mapInArrow(lean(_scan(run, least_words, span_words)), schema), "spans")
     often = store.save(spans.groupBy("hash").agg(F.count("*").alias("k")).where("k > 1").select("hash"), "often")
     repeated = store.save(spans.join(often, "hash"), "repeated")
     first = store.save(repeated.groupBy("hash").agg(F.min(F.struct("id", "th", "place")).alias("first")), "first")

@@ -66,6 +66,10 @@ class Store:
             time.sleep(0.2)
 
 
+#: Rows of texts that go to Python together in scans that hold much besides.
+ROWS = 2000
+
+
 @contextmanager
 def rows_at_once(spark: SparkSession, n: int) -> Iterator[None]:
     """For tables of large binary rows: while this holds, Spark hands at most n rows to Python together."""
