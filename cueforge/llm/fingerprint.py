@@ -45,7 +45,7 @@ def as_text(s: Column) -> Column:
 
 
 def _same(a: Column, b: Column) -> Column:
-    return (a["n"] == b["n"]) & (a["total"] == b["total"])
+    return F.coalesce((a["n"] == b["n"]) & (a["total"] == b["total"]), F.lit(False))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -61,9 +61,11 @@ def containment(a: Column, b: Column) -> Column:
     return F.when(_same(a, b) | (a["n"] == 0), 1.0).when(F.size(a["kept"]) > 0, both / F.size(a["kept"])).otherwise(0.0)
 
 
-def merge(a: Column, b: Column) -> Column:
-    """The kept hashes of both documents together."""
-    return F.array_sort(F.array_union(a["kept"], b["kept"]))
+def merge(a: Column, b: Column, scale_bits: int = SCALE_BITS) -> Column:
+    """The sketch of both documents together: what either keeps. Its n is estimated from that, and it has no total."""
+    kept = F.array_sort(F.array_union(a["kept"], b["kept"]))
+    n = F.greatest(a["n"], b["n"], F.size(kept) * (1 << scale_bits))
+    return F.struct(n.alias("n"), F.lit(None).cast("long").alias("total"), kept.alias("kept"))
 
 
 def _nested(bounds: list[int], key: Column) -> Column:
@@ -111,6 +113,8 @@ def compared(spark: SparkSession, docs: DataFrame) -> DataFrame:
     The edited text has the last floor(n_chars / 3) characters replaced by the first as many, or all, of the next document.
     Returns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next (Jaccard estimates), and
     contained_edited, contained_next: the estimated share of the document's shingles that the other text has.
+    Null texts count as empty; rows that share a doc_id follow each other by a hash of the text, rows without one come last; repeated
+    rows get rows of their own; an empty table gives no rows; extra columns are ignored.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     texts = texts.withColumn("own", sketch(F.col("text")))

@@ -107,10 +107,19 @@ def probe(data: bytes | memoryview) -> list[dict]:
             tracks.append({})
         elif name.startswith("/moov/trak/") and tracks:
             tracks[-1][name.rpartition("/")[2]] = (lo, hi)
-    return [_track(data, t) for t in tracks if {"stsd", "stts", "stsc", "mdhd"} <= set(t) and ("stco" in t or "co64" in t) and "stsz" in t]
+    whole = [t for t in tracks if {"stsd", "stts", "stsc", "stsz", "mdhd"} <= set(t) and ("stco" in t or "co64" in t)]
+    found = []
+    for t in whole:
+        try:
+            found.append(_track(data, t))
+        except (ValueError, IndexError, OverflowError, MemoryError):  # tables that contradict each other or the file
+            continue
+    return found
 
 
 def _numbers(data: bytes | memoryview, at: int, count: int, wide: int = 4) -> np.ndarray:
+    if count < 0 or at + count * wide > len(data):
+        raise ValueError("a table that is longer than the file")
     return np.frombuffer(data, f">u{wide}", count, at).astype(np.int64)
 
 
@@ -121,17 +130,23 @@ def _track(data: bytes | memoryview, t: dict[str, tuple[int, int]]) -> dict:
     scale = int(_numbers(data, at + (20 if long else 12), 1)[0])
     duration = int(_numbers(data, at + (24 if long else 16), 1, 8 if long else 4)[0])
     same, n = _numbers(data, t["stsz"][0] + 4, 2)
-    sizes = np.full(n, same) if same else _numbers(data, t["stsz"][0] + 12, n)
+    if same and int(n) * int(same) > len(data):
+        raise ValueError("more samples than bytes")
+    sizes = np.full(n, same) if same else _numbers(data, t["stsz"][0] + 12, int(n))
     where = "co64" if "co64" in t else "stco"
     chunks = _numbers(data, t[where][0] + 8, count(where), 8 if where == "co64" else 4)
     runs = _numbers(data, t["stsc"][0] + 8, 3 * count("stsc")).reshape(-1, 3)
     per_chunk = np.repeat(runs[:, 1], np.diff(np.r_[runs[:, 0], len(chunks) + 1]))
+    if (np.diff(np.r_[0, runs[:, 0], len(chunks) + 1]) < (np.arange(len(runs) + 1) < len(runs))).any() or per_chunk.sum() < n or per_chunk.sum() > n + per_chunk.max(initial=0):
+        raise ValueError("chunks that don't hold the samples")
     owner = np.repeat(np.arange(len(chunks)), per_chunk)[:n]
     end = np.cumsum(sizes)
     first = np.searchsorted(owner, owner)  # the first sample of the same chunk
     starts = chunks[owner] + (end - sizes) - (end - sizes)[first]
     times = _numbers(data, t["stts"][0] + 8, 2 * count("stts")).reshape(-1, 2)
     keys = _numbers(data, t["stss"][0] + 8, count("stss")) - 1 if "stss" in t else np.arange(n)
+    if len(starts) and (starts.min() < 0 or (starts + sizes).max() > len(data)) or len(keys) and (keys.min() < 0 or keys.max() >= n):
+        raise ValueError("samples that lie outside of the file")
     return {"codec": codec, "timescale": scale, "duration": duration, "decoded": int((times[:, 0] * times[:, 1]).sum()), "starts": starts, "sizes": sizes, "keys": np.stack([starts[keys], starts[keys] + sizes[keys]], 1)}
 
 

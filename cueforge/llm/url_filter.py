@@ -127,8 +127,9 @@ def judged(spark: SparkSession, pages: DataFrame, rules: list[tuple[str, str, st
     near = store.save(near, "universe")
     found = {}
     for verdict in ("allow", "block"):
-        own = [(h + p,) for v, h, p in rules if v == verdict]
-        found[verdict] = cascade(near, spark.createDataFrame(own, "key string").distinct(), store, verdict)
+        own = sorted({h + p for v, h, p in rules if v == verdict})
+        listed = spark.range(1).select(F.explode(F.array(*map(F.lit, own)).cast("array<string>")).alias("key"))
+        found[verdict] = cascade(near, listed, store, verdict)
     best = F.expr(f"filter(transform(_keys, k -> struct(length(k) as size, case when {listed_by(found['block'], 'k')} then 'block' when {listed_by(found['allow'], 'k')} then 'allow' end as verdict, k as rule)), x -> x.verdict is not null)")
     rows = rows.withColumn("_keys", keys("host", "path", lengths)).withColumn("_best", F.array_max(best))
     return rows.select("page_id", "host", "path", F.col("_best.rule").alias("rule"), F.coalesce("_best.verdict", F.lit(default)).alias("verdict"))

@@ -110,12 +110,60 @@ def test_foreign_bytes():
         media.mux(b"x")
 
 
-def test_variable_sizes_and_chunks():
-    """A table with a size for each sample and chunks that aren't neighbours."""
-    file = bytearray(media.mux(bytes(range(192)) * 3))
-    at = {n: (lo, hi) for n, lo, hi in media.boxes(file)}
-    track = media._track(bytes(file), {n.rpartition("/")[2]: s for n, s in at.items()})
-    assert track["starts"].tolist() == [track["starts"][0] + 192 * i for i in range(3)]
+def container(wide, version, sizes, runs, gaps):
+    """A file with a size for each sample, several runs of chunks with bytes between them, and 64-bit fields where asked."""
+    import struct
+
+    samples = [bytes([65 + i % 26]) * n for i, n in enumerate(sizes)]
+    per_chunk = [k for k, times in runs for _ in range(times)]
+    body, offsets, at = b"", [], 0
+    for c, k in enumerate(per_chunk):
+        body += b"\0" * gaps[c % len(gaps)]
+        offsets.append(len(body))
+        body += b"".join(samples[at : at + k])
+        at += k
+    box, full = media._box, media._full
+    head = box(b"ftyp", b"isom", b"\0\0\2\0", b"isom")
+    data = struct.pack(">I", 1) + b"mdat" + struct.pack(">Q", len(body) + 16) + body if wide else box(b"mdat", body)
+    offsets = [len(head) + (16 if wide else 8) + o for o in offsets]
+    first, table = 1, b""
+    for k, times in runs:
+        table += struct.pack(">III", first, k, 1)
+        first += times
+    times = struct.pack(">QQIQ" if version else ">IIII", 0, 0, 1000, 40 * len(sizes))
+    stbl = box(
+        b"stbl", full(b"stsd", struct.pack(">I", 1), box(b"avc1", b"\0" * 78)), full(b"stts", struct.pack(">5I", 2, 1, 10, len(sizes) - 1, 40)),
+        full(b"stsc", struct.pack(">I", len(runs)), table), full(b"stsz", struct.pack(">II", 0, len(sizes)), struct.pack(f">{len(sizes)}I", *sizes)),
+        full(b"co64" if wide else b"stco", struct.pack(">I", len(offsets)), struct.pack(f">{len(offsets)}{'Q' if wide else 'I'}", *offsets)),
+        full(b"stss", struct.pack(">III", 2, 1, 4)),
+    )
+    return head + data + box(b"moov", box(b"trak", box(b"mdia", full(b"mdhd", times, b"\0" * 4, version=version), box(b"minf", stbl)))), samples
+
+
+@pytest.mark.parametrize(("wide", "version"), [(False, 0), (True, 1)])
+def test_variable_sizes_and_chunks(wide, version):
+    """A table with a size for each sample, runs of chunks that aren't neighbours, 32 and 64-bit offsets, boxes and times."""
+    file, samples = container(wide, version, [5, 1, 30, 2, 9, 4, 7, 11], [(2, 1), (1, 2), (3, 1), (1, 1)], [3, 0, 8])
+    (track,) = media.probe(file)
+    assert [file[a : a + n] for a, n in zip(track["starts"].tolist(), track["sizes"].tolist(), strict=True)] == samples
+    assert (track["codec"], track["timescale"], track["duration"], track["decoded"]) == ("avc1", 1000, 320, 10 + 7 * 40)
+    assert [file[a:b] for a, b in track["keys"].tolist()] == [samples[0], samples[3]] and media.demux(file, track) == b"".join(samples)
+
+
+def test_damaged_tables_give_no_track():
+    good, _ = container(False, 0, [5, 1, 30, 2, 9, 4, 7, 11], [(2, 1), (1, 2), (3, 1), (1, 1)], [3, 0, 8])
+    spans = [(name, lo, hi) for name, lo, hi in media.boxes(good) if name.rpartition("/")[2] in ("stsc", "stsz", "stco", "stts", "stss")]
+    assert len(spans) == 5
+    for name, lo, hi in spans:
+        for at in range(lo + 4, hi):
+            for value in (0, 1, 127, 255):
+                file = bytearray(good)
+                file[at] = value
+                for track in media.probe(bytes(file)):  # never raises; what it gives lies in the file
+                    assert (track["starts"] + track["sizes"] <= len(file)).all()
+        broken = bytearray(good)
+        broken[lo + (8 if name.endswith("stsz") else 4)] = 255
+        assert media.probe(bytes(broken)) == [], name
 
 
 def test_stored(spark):

@@ -49,8 +49,11 @@ def test_sketches_merge(value):
     both = F.lit(f"{a} {b}")
     assert value(fingerprint.containment(fingerprint.sketch(F.lit(a)), fingerprint.sketch(both))) == 1
     assert value(fingerprint.containment(fingerprint.sketch(both), fingerprint.sketch(F.lit(a)))) == pytest.approx(396 / 2396, abs=0.05)
-    kept = set(value(fingerprint.merge(fingerprint.sketch(F.lit(a)), fingerprint.sketch(F.lit(b)))))
-    assert kept <= set(value(fingerprint.sketch(both)["kept"]))
+    merged = fingerprint.merge(fingerprint.sketch(F.lit(a)), fingerprint.sketch(F.lit(b)))
+    assert set(value(merged["kept"])) <= set(value(fingerprint.sketch(both)["kept"]))
+    assert value(fingerprint.containment(fingerprint.sketch(F.lit(a)), merged)) == 1
+    assert value(fingerprint.containment(merged, fingerprint.sketch(F.lit(b)))) == pytest.approx(1996 / 2392, abs=0.05)
+    assert value(fingerprint.likeness(fingerprint.merge(merged, merged), fingerprint.sketch(both))) > 0.98
 
 
 def spans_by_hand(rows, run=3, least=15):
