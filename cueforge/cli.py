@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cueforge.functions import markdown as M
@@ -36,9 +37,13 @@ def main(argv: list[str] | None = None) -> int:
         for row in status.status_json(items).toLocalIterator():
             print(row["report"])
     elif a.command == "markdown":
-        cues = subtitles.srt_cues(subtitles.texts(spark, a.path, "srt")).withColumn("doc_id", T.video_id(F.col("path")))
-        meta = cues.select("doc_id", F.lit(None).cast("string").alias("title"), F.lit(None).cast("string").alias("date")).distinct()
-        md = document.to_markdown(cues.drop("path"), meta, a.language).withColumn("file_name", F.concat("doc_id", F.lit(".md")))
+        # a file is a document: files without an id, or of one item in several languages, stay apart
+        cues = subtitles.srt_cues(subtitles.texts(spark, a.path, "srt")).withColumn("doc_id", F.col("path"))
+        meta = cues.select("doc_id", F.lit(None).cast("string").alias("title"), F.lit(None).cast("string").alias("date"), T.video_id(F.col("path")).alias("item")).distinct()
+        md = document.to_markdown(cues.drop("path"), meta, a.language)
+        stem = F.regexp_replace(F.substring_index("doc_id", "/", -1), r"(?i)\.srt$", "")
+        again = F.row_number().over(Window.partitionBy("stem").orderBy("doc_id"))  # the same name in another folder
+        md = md.withColumn("stem", stem).withColumn("file_name", F.concat("stem", F.when(again > 1, F.concat(F.lit("-"), again.cast("string"))).otherwise(""), F.lit(".md")))
         print(sinks.write_texts(md, a.out, text="md", bom=True).count(), "files")
     else:
         files = records.whole_files(spark, a.path, f"{a.channel}-*").where(F.substring_index("path", "/", -1).rlike(r"\.(md|txt)$"))

@@ -27,7 +27,8 @@ def clean_cues(cues: DataFrame, pause_unit: str = "second") -> DataFrame:
 
 
 def to_markdown(cues: DataFrame, meta: DataFrame, language: str = "pt", rules: dict[str, str] | None = None, version: str = "Cueforge", least: int = 3, elapsed: str = "component", pause_unit: str = "second") -> DataFrame:
-    """(doc_id, md) for each document with text; meta: (doc_id, title, date), both optional.
+    """(doc_id, md) for each document with text; meta: (doc_id, title, date), both optional,
+    and item: the id to show, if it isn't doc_id (files without an id, or several files of one item, need doc_ids of their own).
 
     The folds' results are read by several later steps and so persisted (recomputed if an executor is lost); spark.catalog.clearCache() frees them.
     Windows by elapsed time, topics where neighbouring windows are unlike, a summary of topics with times, and a chapter for each with timed paragraphs.
@@ -57,8 +58,8 @@ def to_markdown(cues: DataFrame, meta: DataFrame, language: str = "pt", rules: d
         "_chapter": F.concat(F.lit("### ["), T.clock(F.col("seg_ms"), long=True), F.lit("] - Tópico: "), "label", F.lit("\n"), F.coalesce("paras", F.lit(""))),
     })
     body = segs_text.groupBy("doc_id").agg(_joined(["seg_no"], "_item", "").alias("items"), _joined(["seg_no"], "_chapter", "").alias("chapters"))
-    info = body.join(ends.select("doc_id", "last_ms"), "doc_id").join(meta.select("doc_id", "title", "date"), "doc_id", "left")
-    item = F.col("doc_id").cast("string")
+    info = body.join(ends.select("doc_id", "last_ms"), "doc_id").join(meta.select("doc_id", "title", "date", (F.col("item") if "item" in meta.columns else F.col("doc_id")).cast("string").alias("item")), "doc_id", "left")
+    item = F.coalesce("item", F.col("doc_id").cast("string"))
     head = M.markdown_header(F.coalesce("title", item), item, T.format_date(F.col("date")), T.clock(F.col("last_ms")), F.lit(language), version)
     return info.select("doc_id", F.concat(head, F.lit("## Sumário e Tópicos (Timestamps)\n"), "items", F.lit("\n## Transcrição Estruturada por Capítulos\n"), "chapters").alias("md"))
 

@@ -164,15 +164,15 @@ def playlist_union(spark: SparkSession, d: str) -> DataFrame:
 
 @query("upsert_listing", """
 with s as (select o_custkey as id, max(o_orderkey) as k, strftime(max(o_orderdate), '%Y-%m-%d') as day from orders group by 1),
-n as (select c_custkey as id, c_name as title, case when c_custkey % 4 = 0 then 'N/A' when c_custkey % 4 = 1 then 'Desconhecida' else '2024-01-' || lpad(cast(c_custkey % 28 + 1 as varchar), 2, '0') end as day from customer where c_custkey % 3 <> 0),
+n as (select c_custkey as id, c_name as title, case when c_custkey % 4 = 0 then 'N/A' when c_custkey % 4 = 1 then 'Desconhecida' else '2024-01-' || lpad(cast(c_custkey % 28 + 1 as varchar), 2, '0') end as day from (select c_custkey + 100 as c_custkey, c_name from customer)),
 b as (select coalesce(s.id, n.id) as id, s.id as sid, n.id as nid, case when s.id is not null then 'order ' || s.k end as st, s.day as sday, n.title as nt, n.day as nday from s full outer join n on s.id = n.id)
 select id, coalesce(nt, st) as title, coalesce(case when nday not in ('N/A', 'Desconhecida', '') then nday end, sday, nday) as publish_date, sid is null as is_new,
   case when nid is not null then '@Chan' when sid is not null then '@ch' end as source_channel from b""")
 def upsert_listing(spark: SparkSession, d: str) -> DataFrame:
     s = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("id")).agg(F.concat(F.lit("order "), F.max("o_orderkey").cast("string")).alias("title"), F.date_format(F.max("o_orderdate"), "yyyy-MM-dd").alias("publish_date")).withColumn("source_channel", F.lit("@ch"))
-    k = F.col("c_custkey")
+    k = F.col("c_custkey") + 100  # so that either side has keys of its own
     day = F.when(k % 4 == 0, "N/A").when(k % 4 == 1, "Desconhecida").otherwise(F.concat(F.lit("2024-01-"), F.lpad((k % 28 + 1).cast("string"), 2, "0")))
-    n = table(spark, d, "customer").where(k % 3 != 0).select(k.alias("id"), F.col("c_name").alias("title"), day.alias("publish_date"))
+    n = table(spark, d, "customer").select(k.alias("id"), F.col("c_name").alias("title"), day.alias("publish_date"))
     return merge.upsert_listing(s, n, key="id", tag="@Chan").select("id", "title", "publish_date", "is_new", "source_channel")
 
 
@@ -196,10 +196,10 @@ def enrich_metadata(spark: SparkSession, d: str) -> DataFrame:
 
 @query("flag_processed", """
 select coalesce(d.doc_id, l.doc_id) as video_id, coalesce(d.source, 'N/A') as title, l.doc_id is not null as consolidated
-from (select * from documents where doc_id % 5 <> 0) d full outer join (select distinct doc_id from labels) l on d.doc_id = l.doc_id""")
+from documents d full outer join (select distinct doc_id + 100 as doc_id from labels) l on d.doc_id = l.doc_id""")
 def flag_processed(spark: SparkSession, d: str) -> DataFrame:
-    v = table(spark, d, "documents").where(F.col("doc_id") % 5 != 0).select(F.col("doc_id").alias("video_id"), F.col("source").alias("title"), F.lit("N/A").alias("publish_date"), F.lit(False).alias("consolidated"))
-    p = table(spark, d, "labels").select(F.col("doc_id").alias("video_id"))
+    v = table(spark, d, "documents").select(F.col("doc_id").alias("video_id"), F.col("source").alias("title"), F.lit("N/A").alias("publish_date"), F.lit(False).alias("consolidated"))
+    p = table(spark, d, "labels").select((F.col("doc_id") + 100).alias("video_id"))
     return merge.flag_processed(v, p).select("video_id", "title", "consolidated")
 
 
@@ -292,9 +292,65 @@ def volume_index(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("pending_markdown", """
-select doc_id as video_id, source from documents where 'p' || doc_id in (select 'p' || doc_id from labels where doc_id % 2 = 0) and doc_id not in (select item_id from benchmark where item_id is not null)""")
+select doc_id as video_id, source from documents where 'p' || doc_id in (select 'p' || doc_id from labels) and doc_id not in (select item_id from benchmark where item_id is not null)""")
 def pending_markdown(spark: SparkSession, d: str) -> DataFrame:
     name = lambda t, c, end: table(spark, d, t).select(F.col(c).alias("video_id"), F.concat(F.lit("p"), F.col(c).cast("string"), F.lit(end)).alias("path"))
-    files = name("labels", "doc_id", ".srt").where(F.col("video_id") % 2 == 0).union(name("benchmark", "item_id", ".MD"))
+    files = name("labels", "doc_id", ".srt").union(name("benchmark", "item_id", ".MD"))
     items = table(spark, d, "documents").select(F.col("doc_id").alias("video_id"), "source")
     return document.pending_markdown(items, files)
+
+
+@query("files_and_languages", """
+with n as (select page_id, case page_id % 4 when 0 then 'c-' || page_id || '.pt.srt' when 1 then 'c-' || page_id || '-en-us.SRT' when 2 then 'c_' || page_id || '.es-419.srt' else 'plain' || page_id || '.srt' end as name from pages)
+select page_id, lower(coalesce(nullif(regexp_extract(name, '[.-]([a-zA-Z][a-zA-Z](-[a-zA-Z][a-zA-Z][a-zA-Z]?)?)[.][sS][rR][tT]$', 1), ''), 'pt')) as language from n""")
+def files_and_languages(spark: SparkSession, d: str) -> DataFrame:
+    i, k = F.col("page_id").cast("string"), F.col("page_id") % 4
+    name = F.when(k == 0, F.concat(F.lit("c-"), i, F.lit(".pt.srt"))).when(k == 1, F.concat(F.lit("c-"), i, F.lit("-en-us.SRT"))).when(k == 2, F.concat(F.lit("c_"), i, F.lit(".es-419.srt"))).otherwise(F.concat(F.lit("plain"), i, F.lit(".srt")))
+    return table(spark, d, "pages").select("page_id", F.lower(T.language_of_file(name)).alias("language"))
+
+
+@query("language_base", "select doc_id, case when lower(left(lang, 2)) in ('pt', 'en', 'es') then lower(left(lang, 2)) else 'pt' end as base from documents")
+def language_base(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", T.language_base(F.col("lang")).alias("base"))
+
+
+@query("window_parameters", """
+select o_orderkey, case when s < 1800 then 30 when s < 3600 then 60 else 90 end as size_s, case when s < 1800 then 0.65 when s < 3600 then 0.7 else 0.75 end::double as threshold,
+       case when s < 1800 then 3 when s < 3600 then 5 else 8 end as segments from (select o_orderkey, o_orderkey * 37 % 6000 as s from orders)""")
+def window_parameters(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "orders").select("o_orderkey", sequence.window_parameters(F.col("o_orderkey") * 37 % 6000).alias("p")).select("o_orderkey", "p.size_s", "p.threshold", "p.segments")
+
+
+@query("channel_filter", """
+select c_custkey, h from (select c_custkey, c_mktsegment as m, case c_custkey % 4 when 0 then '@' || c_mktsegment when 1 then c_mktsegment || '.official' when 2 then lower(c_mktsegment) || '-official' else '' end as h from customer)
+where replace(replace(lower(ltrim(h, '@')), '.official', ''), '-official', '') = 'building' or h = ''""")
+def channel_filter(spark: SparkSession, d: str) -> DataFrame:
+    m, k = F.col("c_mktsegment"), F.col("c_custkey") % 4
+    h = F.when(k == 0, F.concat(F.lit("@"), m)).when(k == 1, F.concat(m, F.lit(".official"))).when(k == 2, F.concat(F.lower(m), F.lit("-official"))).otherwise("")
+    items = table(spark, d, "customer").select("c_custkey", h.alias("source_channel"))
+    return select.of_channel(items, "@Building.Official", first=True).withColumnRenamed("source_channel", "h")
+
+
+@query("ghosts_removed", "select doc_id, case when doc_id % 3 = 0 then source || '-' || doc_id else 'v' || doc_id end as video_id from documents where doc_id % 3 <> 0 or source <> (select min(source) from documents)")
+def ghosts_removed(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    i = F.col("doc_id").cast("string")
+    name = F.when(F.col("doc_id") % 3 == 0, F.concat(F.col("source"), F.lit("-"), i)).otherwise(F.concat(F.lit("v"), i))
+    return select.without_ghosts(docs.select("doc_id", name.alias("video_id")), docs.agg(F.min("source")).first()[0])
+
+
+@query("channel_urls", "select c_custkey, 'https://youtube.com/' || case when h like '@%' then h else '@' || h end as url from (select c_custkey, case when c_custkey % 2 = 0 then '@' || c_name else c_name end as h from customer)")
+def channel_urls(spark: SparkSession, d: str) -> DataFrame:
+    h = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("@"), F.col("c_name"))).otherwise(F.col("c_name"))
+    return table(spark, d, "customer").select("c_custkey", T.channel_url(h).alias("url"))
+
+
+@query("volumes_resumed", """
+with b as (select source as channel, doc_id, n_chars, sum(n_chars) over (partition by source order by doc_id) as upto from documents where source is not null)
+select channel, doc_id, 7 as volume_no, 1000 + upto - n_chars as at from b""")
+def volumes_resumed(spark: SparkSession, d: str) -> DataFrame:
+    """With room for all, every channel's blocks go on in the volume of its saved state."""
+    docs = table(spark, d, "documents").where("source is not null").select(F.col("source").alias("channel"), "doc_id", "n_chars")
+    state = docs.select("channel").distinct().select("channel", F.lit(7).alias("last_volume"), F.lit(1000).alias("last_volume_size"))
+    placed = consolidate.pack(docs, order=["doc_id"], max_chars=1 << 40, header=200, state=state)
+    return placed.select("channel", "doc_id", "volume_no", F.col("offset").cast("long").alias("at"))

@@ -34,7 +34,7 @@ def write_texts(df: DataFrame, path: str, name: str = "file_name", text: str = "
 
 
 class Snapshots:
-    """A state table as versions: each write is a new folder, and one small pointer file is exchanged last."""
+    """A state table as versions: each write is a new folder, and a small pointer file with the next number comes last."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
@@ -42,29 +42,37 @@ class Snapshots:
         self._path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _current(self) -> str | None:
-        pointer = f"{self.path}/CURRENT"
-        if not self._fs.exists(self._path(pointer)):
-            return None
-        return json.loads(self.spark.read.text(pointer, wholetext=True).first()[0])["version"]
+    def _turns(self) -> list[int]:
+        """The numbers of the pointers that are there."""
+        if not self._fs.exists(self._path(self.path)):
+            return []
+        names = [f.getPath().getName() for f in self._fs.listStatus(self._path(self.path))]
+        return sorted(int(n.removeprefix("CURRENT-")) for n in names if n.startswith("CURRENT-"))
 
     def read(self) -> DataFrame | None:
         """The present version, or None."""
-        version = self._current()
-        return self.spark.read.parquet(f"{self.path}/{version}") if version else None
+        turns = self._turns()
+        if not turns:
+            return None
+        version = json.loads(self.spark.read.text(f"{self.path}/CURRENT-{turns[-1]}", wholetext=True).first()[0])["version"]
+        return self.spark.read.parquet(f"{self.path}/{version}")
 
     def write(self, df: DataFrame) -> str:
-        """A new version; readers see the old or the new one, never a mixture."""
-        version = f"v-{uuid.uuid4().hex}"
+        """A new version; readers see the old or the new one, never a mixture, and never none.
+
+        The new pointer is written aside and then named after the highest number; the one before stays until the next write.
+        """
+        turns, version = self._turns(), f"v-{uuid.uuid4().hex}"
         df.write.parquet(f"{self.path}/{version}")
         part = self._path(f"{self.path}/pointer-{version}")
         out = self._fs.create(part, True)
         out.write(bytearray(json.dumps({"version": version}).encode()))
         out.close()
-        target = self._path(f"{self.path}/CURRENT")
-        self._fs.delete(target, False)
+        target = self._path(f"{self.path}/CURRENT-{turns[-1] + 1 if turns else 0}")
         if not self._fs.rename(part, target):
-            raise OSError(f"can't exchange {target}")
+            raise OSError(f"can't name {target}")
+        for old in turns[:-1]:
+            self._fs.delete(self._path(f"{self.path}/CURRENT-{old}"), False)
         return version
 
     def reset(self) -> None:

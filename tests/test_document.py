@@ -45,9 +45,18 @@ def test_front_end(spark, tmp_path, capsys):
     assert cli.main(["status", str(tmp_path / "in")]) == 0
     assert '"total":1,"downloaded":1' in capsys.readouterr().out
     assert cli.main(["markdown", str(tmp_path / "in"), str(tmp_path / "md")]) == 0
-    text = (tmp_path / "md/abcdefghij1.md").read_text(encoding="utf-8-sig")
-    assert "Olá mundo. Bem vindo." in text
-    (tmp_path / "md/abcdefghij1.md").rename(tmp_path / "md/c-abcdefghij1.md")
+    text = (tmp_path / "md/c-abcdefghij1.md").read_text(encoding="utf-8-sig")
+    assert "Olá mundo. Bem vindo." in text and 'video_id: "abcdefghij1"' in text
     assert cli.main(["consolidate", str(tmp_path / "md"), str(tmp_path / "out"), "c"]) == 0
     volume = (tmp_path / "out/c-v001.txt").read_text(encoding="utf-8-sig")
     assert "CANAL: c" in volume and '<article class="video-entry">' in volume and "(ID: abcdefghij1)" in volume
+
+
+def test_files_without_an_id_stay_apart(spark, tmp_path):
+    for name, word in (("one", "Alpha"), ("two", "Beta"), ("x/one", "Gamma")):
+        (tmp_path / "in" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / f"{name}.srt").write_text(f"1\n00:00:01,000 --> 00:00:03,000\n{word} speaks\n")
+    assert cli.main(["markdown", str(tmp_path / "in"), str(tmp_path / "md")]) == 0
+    texts = {f.name: f.read_text(encoding="utf-8-sig") for f in (tmp_path / "md").iterdir()}
+    assert sorted(texts) == ["one-2.md", "one.md", "two.md"]
+    assert all(sum(w in t for w in ("Alpha", "Beta", "Gamma")) == 1 for t in texts.values()) and "Beta speaks." in texts["two.md"]
