@@ -14,6 +14,11 @@ from cueforge.session import session
 from cueforge.sources import records, sinks, subtitles
 
 
+def channel_argument(parts: list[str]) -> str:
+    """A channel given in several words: parts of a url belong together, those of a name are words."""
+    return ("" if parts and "://" in parts[0] else " ").join(parts)
+
+
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="cueforge")
     sub = p.add_subparsers(dest="command", required=True)
@@ -25,10 +30,12 @@ def main(argv: list[str] | None = None) -> int:
         if name == "markdown":
             s.add_argument("--language", default="pt")
         if name == "consolidate":
-            s.add_argument("channel")
+            s.add_argument("channel", nargs="+")
             s.add_argument("--created-at", default="")
             s.add_argument("--max-chars", type=int, default=consolidate.MAX_CHARS)
     a = p.parse_args(argv)
+    if a.command == "consolidate":
+        a.channel = channel_argument(a.channel)
     spark = session()
     spark.sparkContext.setLogLevel("ERROR")
     if a.command == "status":

@@ -60,3 +60,8 @@ def test_files_without_an_id_stay_apart(spark, tmp_path):
     texts = {f.name: f.read_text(encoding="utf-8-sig") for f in (tmp_path / "md").iterdir()}
     assert sorted(texts) == ["one-2.md", "one.md", "two.md"]
     assert all(sum(w in t for w in ("Alpha", "Beta", "Gamma")) == 1 for t in texts.values()) and "Beta speaks." in texts["two.md"]
+
+
+def test_channel_argument():
+    assert cli.channel_argument(["https://youtube.com/", "@x"]) == "https://youtube.com/@x"
+    assert cli.channel_argument(["My", "Channel"]) == "My Channel" and cli.channel_argument([]) == ""
