@@ -12,6 +12,7 @@ from cueforge.functions import text as T
 from cueforge.operators import consolidate, document, status
 from cueforge.session import session
 from cueforge.sources import records, sinks, subtitles
+from cueforge.streaming.incremental import Consolidation
 
 
 def channel_argument(parts: list[str]) -> str:
@@ -33,6 +34,7 @@ def main(argv: list[str] | None = None) -> int:
             s.add_argument("channel", nargs="+")
             s.add_argument("--created-at", default="")
             s.add_argument("--max-chars", type=int, default=consolidate.MAX_CHARS)
+            s.add_argument("--reset", action="store_true", help="place all files anew, from volume 1")
     a = p.parse_args(argv)
     if a.command == "consolidate":
         a.channel = channel_argument(a.channel)
@@ -58,7 +60,15 @@ def main(argv: list[str] | None = None) -> int:
         body = T.clean_gaps(M.transcript(F.col("value"), F.col("path"), F.lit("")))
         block = M.article(body, F.substring_index("path", "/", -1), F.col("title"), F.col("video_id"), F.col("date"))
         blocks = own.withColumn("block", block).withColumn("n_chars", F.length("block"))
-        v = consolidate.volumes(consolidate.pack(blocks, max_chars=a.max_chars), F.lit(a.created_at))
+        # the last volume is filled on: items that were placed before are passed by, and volumes with new ones are written
+        run = Consolidation(spark, f"{a.out}/state/{a.channel}", a.max_chars)
+        if a.reset:
+            run.reset()
+        number = run.next_batch()
+        run.batch(blocks.drop("value"), number)
+        placed = run.placed()
+        touched = placed.where(F.col("batch") == number).select("channel", "volume_no").distinct()
+        v = consolidate.volumes(placed.join(touched, ["channel", "volume_no"], "left_semi"), F.lit(a.created_at), order="offset")
         print(sinks.write_texts(v, a.out, bom=True).count(), "volumes")
     return 0
 

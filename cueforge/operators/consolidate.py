@@ -86,6 +86,28 @@ def next_state(placed: DataFrame, state: DataFrame | None = None, channel: str =
     return both.select(F.coalesce(f"n.{channel}", f"s.{channel}").alias(channel), union("processed_files"), union("processed_ids"), F.coalesce("n.last_volume", "s.last_volume").alias("last_volume"), F.coalesce("n.last_volume_size", "s.last_volume_size").alias("last_volume_size"))
 
 
+def last_volumes(placed: DataFrame, state: DataFrame | None = None, channel: str = "channel", size: str = "n_chars") -> DataFrame:
+    """(channel, last_volume, last_volume_size) after packing: what the next packing needs. A partial aggregate without lists, whatever a channel's history."""
+    end = F.struct(F.col("volume_no").cast("int").alias("v"), (F.col("offset") + F.col(size)).cast("long").alias("e"))
+    ends = placed.groupBy(channel).agg(F.max(end).alias("last")).select(channel, F.col("last.v").alias("last_volume"), F.col("last.e").alias("last_volume_size"))
+    if state is None:
+        return ends
+    old = state.select(channel, F.col("last_volume").cast("int").alias("last_volume"), F.col("last_volume_size").cast("long").alias("last_volume_size"))
+    best = F.max(F.struct("last_volume", "last_volume_size"))  # volumes only grow
+    return ends.union(old).groupBy(channel).agg(best.alias("last")).select(channel, "last.*")
+
+
+def reconciled(state: DataFrame, scanned: DataFrame, channel: str = "channel") -> DataFrame:
+    """State against the volumes that are there (channel, last_volume, last_volume_size): the higher number is the last volume,
+    and its size is that of the file, if it is there. Channels of either side are kept."""
+    s, v = state.alias("s"), scanned.alias("v")
+    both = s.join(v, F.col(f"s.{channel}") == F.col(f"v.{channel}"), "full_outer")
+    there = F.col("v.last_volume") >= F.coalesce("s.last_volume", F.lit(0))
+    last = F.greatest(F.coalesce("s.last_volume", F.lit(0)), F.coalesce("v.last_volume", F.lit(0)))
+    size = F.when(F.coalesce(there, F.lit(False)), F.col("v.last_volume_size")).otherwise(F.coalesce("s.last_volume_size", F.lit(0)))
+    return both.select(F.coalesce(f"s.{channel}", f"v.{channel}").alias(channel), last.cast("int").alias("last_volume"), size.cast("long").alias("last_volume_size"))
+
+
 def extension_priority(name: Column) -> Column:
     """md before txt before srt before others."""
     e = F.lower(F.regexp_extract(name, r"\.([^.]+)$", 1))

@@ -26,24 +26,25 @@ def clean_cues(cues: DataFrame, pause_unit: str = "second") -> DataFrame:
     return both.withColumn("clean", T.restore_punctuation(F.col("kept"), F.col("pause_s"), F.col("is_last"))).drop("kept", "pause_s", "is_last")
 
 
-def to_markdown(cues: DataFrame, meta: DataFrame, language: str = "pt", rules: dict[str, str] | None = None, version: str = "Cueforge", least: int = 3, elapsed: str = "component", pause_unit: str = "second") -> DataFrame:
+def to_markdown(cues: DataFrame, meta: DataFrame, language: str = "pt", rules: dict[str, str] | None = None, version: str = "Cueforge", least: int | None = 3, elapsed: str = "component", pause_unit: str = "second") -> DataFrame:
     """(doc_id, md) for each document with text; meta: (doc_id, title, date), both optional,
     and item: the id to show, if it isn't doc_id (files without an id, or several files of one item, need doc_ids of their own).
 
     The folds' results are read by several later steps and so persisted (recomputed if an executor is lost); spark.catalog.clearCache() frees them.
+    least: the least number of topics; None for one by the document's duration.
     Windows by elapsed time, topics where neighbouring windows are unlike, a summary of topics with times, and a chapter for each with timed paragraphs.
     """
     stops = topics.stop_words(language)
     cleaned = clean_cues(cues, pause_unit)
     ends = cleaned.groupBy("doc_id").agg(F.max_by("end_ms", "seq").alias("last_ms"))
-    ends = ends.withColumn("p", sequence.window_parameters(T.total_seconds(F.col("last_ms")))).select("doc_id", "last_ms", "p.size_s", "p.threshold")
+    ends = ends.withColumn("p", sequence.window_parameters(T.total_seconds(F.col("last_ms")))).select("doc_id", "last_ms", "p.size_s", "p.threshold", (F.col("p.segments") if least is None else F.lit(least)).alias("least"))
     timed = cleaned.join(ends, "doc_id").withColumn("has", F.col("clean").isNotNull() & (F.col("clean") != ""))
     placed = timed.join(sequence.elapsed_windows(timed, "doc_id", "seq", "size_s", kept="has", elapsed=elapsed), ["doc_id", "seq"]).persist()
     windows = placed.groupBy("doc_id", "window_id").agg(_joined(["seq"], "clean", " ").alias("text"))
     weights = topics.tfidf(windows, stops=stops).persist()
-    sims = topics.neighbour_similarity(weights, windows).join(ends.select("doc_id", "threshold"), "doc_id")
+    sims = topics.neighbour_similarity(weights, windows).join(ends.select("doc_id", "threshold", "least"), "doc_id")
     # thresholds differ by document, so similarities are compared as distances from them
-    breaks = topics.topic_breaks(sims.withColumn("sim", F.round("sim", 9) - F.col("threshold")), 0.0, least)
+    breaks = topics.topic_breaks(sims.withColumn("sim", F.round("sim", 9) - F.col("threshold")), 0.0, "least")
     segs = topics.segments(windows.select("doc_id", "window_id"), breaks).persist()
     labels = topics.keywords(weights, segs, stops)
     inside = placed.join(segs, ["doc_id", "window_id"])
@@ -106,6 +107,25 @@ def converted_counts(before: DataFrame, after: DataFrame) -> DataFrame:
     return done.groupBy(F.when(F.col("_d").isNotNull(), "converted").otherwise("skipped").alias("status")).agg(F.count("*").alias("n"))
 
 
+def upgrade_counts(before: DataFrame, after: DataFrame, mark: str) -> DataFrame:
+    """One row: upgraded, already, skipped, failed of texts (path, value) and their upgraded forms (path, value).
+
+    Texts with the mark are of the new form already; others were upgraded if they changed, skipped if not, and failed where no new form is there.
+    """
+    both = before.alias("b").join(after.select("path", F.col("value").alias("_new")), "path", "left")
+    new, old = F.coalesce(F.col("value").contains(mark), F.lit(False)), F.col("_new").eqNullSafe(F.col("value"))
+    failed = F.col("_new").isNull()
+    return both.agg(F.count_if(~new & ~failed & ~old).alias("upgraded"), F.count_if(new).alias("already"), F.count_if(~new & ~failed & old).alias("skipped"), F.count_if(~new & failed).alias("failed"))
+
+
+def titled(files: DataFrame, lookup: DataFrame, key: str = "video_id") -> DataFrame:
+    """files (path, key and others) with title and publish_date of a lookup; without one, the title is the file's stem and the date unknown."""
+    own = lookup.select(F.col(key).alias("_k"), F.col("title").alias("_t"), F.col("publish_date").alias("_d"))
+    stem = F.regexp_replace(F.substring_index("path", "/", -1), r"\.[^.]*$", "")
+    df = files.join(own, F.col(key) == F.col("_k"), "left")
+    return df.withColumns({"title": F.coalesce(F.nullif("_t", F.lit("")), stem), "publish_date": T.format_date(F.col("_d"))}).drop("_k", "_t", "_d")
+
+
 def numbered(rows: DataFrame, key: str, *order: str) -> DataFrame:
     """rows with nth, counted from 1 in each key."""
     return rows.withColumn("nth", F.row_number().over(Window.partitionBy(key).orderBy(*order)))

@@ -23,7 +23,7 @@ def query(name: str, sql: str | None = None):
 
 
 def _load() -> None:
-    from cueforge.plans import item_queries, text_queries  # noqa: F401  they register themselves
+    from cueforge.plans import item_queries, landed_queries, text_queries  # noqa: F401  they register themselves
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -64,7 +64,15 @@ def sentence_case(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "conversations").select("conv_id", "turn", F.md5(text.cast("binary")).alias("cased"))
 
 
-@query("restore_punctuation")
+_OPENINGS = "|".join(T.QUESTION_OPENINGS)
+
+
+@query("restore_punctuation", f"""
+with c as (select conv_id, turn, regexp_replace(text, '^\\s+|\\s+$', '', 'g') as t, (turn % 4) * 0.15 as pause, turn = max(turn) over (partition by conv_id) as last from conversations),
+m as (select conv_id, turn, t, t || case when regexp_matches(t, '[.!?:;,]$') then '' when last or pause >= 0.4 then '.' when pause >= 0.15 then ',' else '' end as e from c),
+k as (select conv_id, turn, t, array_to_string(list_transform(regexp_extract_all(e, '(?s).+?(?:[.!?]\\s+|$)'), lambda p: upper(p[1]) || p[2:]), '') as e from m),
+q as (select conv_id, turn, t, regexp_replace(e, '(^|[.!?]\\s+)([^.!?]+)[.]', '\\1⟦\\2⟧', 'g') as e from k)
+select conv_id, turn, case when t = '' then t else replace(replace(regexp_replace(e, '(?i)⟦((?:{_OPENINGS})[^⟧]*)⟧', '\\1?', 'g'), '⟦', ''), '⟧', '.') end as restored from q""")
 def restore_punctuation(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "conversations")
     last = F.col("turn") == F.max("turn").over(Window.partitionBy("conv_id"))
@@ -130,6 +138,16 @@ def adaptive_windows(spark: SparkSession, d: str) -> DataFrame:
     return sequence.elapsed_windows(cues, "user_id", "event_id", "size", elapsed="total")
 
 
+@query("component_windows", f"""with recursive {_EVENTS}, z as (select *, row_number() over (partition by user_id order by event_id) as r from e),
+w as (select user_id, event_id, r, cast(0 as integer) as window_id, (t - s) // 1000 % 60 > 30 as closed, s as own, s as clock from z where r = 1
+ union all select z.user_id, z.event_id, z.r, cast(case when w.closed then w.window_id + 1 else w.window_id end as integer), (z.t - case when w.closed then w.own else w.clock end) // 1000 % 60 > 30, z.s, case when w.closed then w.own else w.clock end
+ from w join z on z.user_id = w.user_id and z.r = w.r + 1)
+select user_id, event_id, window_id from w""")
+def component_windows(spark: SparkSession, d: str) -> DataFrame:
+    """Windows by the seconds place of the time passed, as existing documents were made."""
+    return sequence.elapsed_windows(_timed(spark, d).withColumn("size", F.lit(30)), "user_id", "event_id", "size")
+
+
 @query("rollup_strip", f"""with recursive {_LINES}, q as (select doc_id, pos, list_filter(regexp_split_to_array(line, '\\s+'), lambda x: x <> '') as w from lines),
 f as (select doc_id, -1 as pos, cast([] as varchar[]) as last, cast(null as varchar[]) as kept, cast(false as boolean) as given from q where pos = 0
  union all select q.doc_id, q.pos, case when len(k.rest) > 0 then q.w else f.last end, k.rest, len(k.rest) > 0 from f join q on q.doc_id = f.doc_id and q.pos = f.pos + 1,
@@ -159,7 +177,16 @@ def line_dedup_start(spark: SparkSession, d: str) -> DataFrame:
     return sequence.line_dedup(blocks, "doc_id", "block").select("doc_id", "block", "start")
 
 
-@query("paragraph_flush")
+@query("paragraph_flush", f"""with recursive {_LINES},
+t as (select doc_id, pos, trim(regexp_replace(line, '\\s+', ' ', 'g')) as t from lines),
+c as (select doc_id, row_number() over (partition by doc_id order by pos) as r, count(*) over (partition by doc_id) as n, cast(pos as bigint) * 20000 as s, t, list_transform(string_split(lower(t), ' '), lambda w: trim(w, '.,!?:;"' || chr(39))) as w from t where t <> ''),
+f as (select doc_id, cast(0 as bigint) as r, cast(0 as bigint) as start, cast(0 as integer) as para, cast([] as varchar[]) as before, cast([] as varchar[]) as kept, true as closed from c where r = 1
+ union all select c.doc_id, c.r, g.start, cast(f.para + case when f.closed and f.r > 0 then 1 else 0 end as integer), case when h.same and len(c.w) <= len(g.b) then g.b else c.w end,
+  case when not h.same then list_append(g.k, c.t) when len(c.w) > len(g.b) then list_append(g.k[1:len(g.k) - 1], c.t) else g.k end,
+  c.r = c.n or (c.s + 15000 - g.start) // 1000 >= 120 or ((c.s + 15000 - g.start) // 1000 >= 60 and regexp_matches(rtrim(c.t, '"' || chr(39)), '[.!?]$'))
+ from f join c on c.doc_id = f.doc_id and c.r = f.r + 1, lateral (select case when f.closed then c.s else f.start end as start, case when f.closed then [] else f.before end as b, case when f.closed then [] else f.kept end as k) g,
+  lateral (select len(g.b) > 0 and g.b[1:least(len(g.b), len(c.w))] = c.w[1:least(len(g.b), len(c.w))] as same) h)
+select doc_id, para, start as start_ms, array_to_string(kept, ' ') as text from f where closed and r > 0""")
 def paragraph_flush(spark: SparkSession, d: str) -> DataFrame:
     cues = _lines(spark, d).select("doc_id", "pos", (F.col("pos") * 20_000).alias("start_ms"), (F.col("pos") * 20_000 + 15_000).alias("end_ms"), F.col("line").alias("text"))
     return sequence.paragraphs(cues, ["doc_id"], "pos", elapsed="total")
@@ -203,7 +230,26 @@ def segments(spark: SparkSession, d: str) -> DataFrame:
     return topics.segments(w.select("doc_id", "window_id"), breaks)
 
 
-@query("topic_breaks")
+def _backfilled(least: str) -> str:
+    """Topic breaks below 0.02, filled up to the least number by ascending similarity, places not next to one another."""
+    return f"""with recursive {_TFIDF}, g as (select doc_id, count(*) + 1 as n, list_filter(list(case when round(sim, 9) < 0.02 then window_id else -1 end), lambda x: x >= 0) as low,
+  list_filter(list(case when round(sim, 9) < 0.02 then -1 else window_id end order by round(sim, 9), window_id), lambda x: x >= 0) as waiting from sim group by 1),
+h as (select *, least({least}, n) as goal from g),
+f as (select doc_id, 0 as i, list_prepend(cast(0 as integer), low) as chosen from h
+ union all select h.doc_id, f.i + 1, case when len(f.chosen) < h.goal and not list_has_any(f.chosen, [h.waiting[f.i + 1] - 1, h.waiting[f.i + 1], h.waiting[f.i + 1] + 1]) then list_append(f.chosen, h.waiting[f.i + 1]) else f.chosen end
+ from f join h using (doc_id) where f.i < len(h.waiting))
+select f.doc_id, unnest(list_filter(f.chosen, lambda x: x > 0)) as window_id from f join h on h.doc_id = f.doc_id and f.i = len(h.waiting)"""
+
+
+@query("topic_breaks_by_duration", _backfilled("case doc_id % 3 when 0 then 3 when 1 then 5 else 8 end"))
+def topic_breaks_by_duration(spark: SparkSession, d: str) -> DataFrame:
+    w = _windows(spark, d)
+    sims = topics.neighbour_similarity(topics.tfidf(w), w).withColumn("sim", F.round("sim", 9))
+    least = sequence.window_parameters((F.col("doc_id") % 3) * 1800)["segments"]
+    return topics.topic_breaks(sims.withColumn("least", least), 0.02, least="least")
+
+
+@query("topic_breaks", _backfilled("3"))
 def topic_breaks(spark: SparkSession, d: str) -> DataFrame:
     w = _windows(spark, d)
     sims = topics.neighbour_similarity(topics.tfidf(w), w).withColumn("sim", F.round("sim", 9))
@@ -297,7 +343,13 @@ def srt_round_trip(spark: SparkSession, d: str) -> DataFrame:
     return subtitles.srt_cues(_as_srt(spark, d)).select("path", "start_ms", "end_ms", F.md5(T.strip(F.col("text")).cast("binary")).alias("text"))
 
 
-@query("fluent_text")
+@query("fluent_text", """with recursive
+b as (select conv_id, row_number() over (partition by conv_id order by turn) as r, list_filter(list_transform(string_split(regexp_replace(text, '\\n\\s*', chr(10), 'g'), chr(10)), lambda x: regexp_replace(regexp_replace(x, '<[^>]*>', '', 'g'), '^\\s+|\\s+$', '', 'g')), lambda x: x <> '') as l
+  from conversations where not regexp_matches(text, '^\\s*$')),
+f as (select conv_id, cast(0 as bigint) as r, cast([] as varchar[]) as last, cast([] as varchar[]) as kept from b where r = 1
+ union all select b.conv_id, b.r, case when len(b.l) > s.start then b.l[s.start + 1:] else f.last end, case when len(b.l) > s.start then b.l[s.start + 1:] else [] end from f join b on b.conv_id = f.conv_id and b.r = f.r + 1,
+  lateral (select cast(case when len(f.last) > 0 and f.last[-1] = b.l[1] then 1 when len(f.last) > 0 and len(b.l) > len(f.last) and b.l[1:len(f.last)] = f.last then len(f.last) else 0 end as integer) as start) s)
+select cast(conv_id as varchar) as path, string_agg(array_to_string(kept, ' '), ' ' order by r) as value from f where len(kept) > 0 group by conv_id""")
 def fluent_text(spark: SparkSession, d: str) -> DataFrame:
     return subtitles.fluent_text(subtitles.srt_cues(_as_srt(spark, d)))
 

@@ -247,6 +247,23 @@ def archived(files: DataFrame, processed: DataFrame) -> DataFrame:
     return files.join(done, F.col("path") == F.col("_p"), "left").withColumn("archived", F.col("_p").isNotNull()).drop("_p")
 
 
+def restored(files: DataFrame) -> DataFrame:
+    """archived() undone: no file counts as archived, and paths in archive folders are those before archiving."""
+    path = F.regexp_replace("path", r"(^|/)archives?/([^/]+)$", "$1$2")
+    return files.withColumns({"path": path, "archived": F.lit(False)})
+
+
+def vtt_files(files: DataFrame, channel: str, item: str) -> DataFrame:
+    """WebVTT files of an item by their names, `<channel>-<item>*.vtt`. If there is none, those without a dash that begin with the
+    channel's name up to its first dot, since downloads cut names there."""
+    name = F.substring_index("path", "/", -1)
+    own = name.startswith(f"{channel}-{item}")
+    cut = name.startswith(channel.split(".", 1)[0]) & ~name.contains("-")
+    found = files.where(name.endswith(".vtt") & (own | cut)).withColumn("_own", own)
+    named = found.agg(F.coalesce(F.bool_or("_own"), F.lit(False)).alias("_any"))  # one row
+    return found.join(F.broadcast(named), F.col("_own") | ~F.col("_any")).drop("_own", "_any")
+
+
 def subtitle_listing(files: DataFrame, ending: str = "srt") -> DataFrame:
     """Files of an ending with their rank: for srt archived ones go first, for md last; then by name."""
     stored = F.when(F.col("path").rlike("(^|/)archive/"), 0).when(F.col("path").rlike("(^|/)archives/"), 1)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import chain
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -40,6 +42,17 @@ def srt_cues(files: DataFrame) -> DataFrame:
     return cue.where(F.col("start_ms").isNotNull() & (T.strip(F.col("text")) != ""))
 
 
+def file_report(files: DataFrame) -> DataFrame:
+    """(path, n_cues, problem) of whole SRT texts (path, value): why a file gives no document (`missing`, `empty`, `undecodable`, `no cues`), else null.
+
+    missing: a null text. undecodable: bytes that were no UTF-8 were replaced, and nothing of a cue is left.
+    """
+    counts = srt_cues(files).groupBy(F.col("path").alias("_p")).agg(F.count("*").alias("n_cues"))
+    df = files.join(counts, F.col("path") == F.col("_p"), "left").withColumn("n_cues", F.coalesce("n_cues", F.lit(0)))
+    none = F.when(F.col("value").isNull(), "missing").when(T.strip(F.col("value")) == "", "empty").when(F.col("value").contains("\ufffd"), "undecodable").otherwise("no cues")
+    return df.select("path", "n_cues", F.when(F.col("n_cues") == 0, none).alias("problem"))
+
+
 def vtt_cues(files: DataFrame) -> DataFrame:
     """Cues of whole WebVTT texts (path, value): the header block goes, each block's first time line counts, ids and settings are dropped. seq counts from 1."""
     body = F.regexp_replace("value", "\r\n?", "\n")
@@ -102,7 +115,7 @@ class _Files(DataSourceReader):
         ms = lambda g: ((int(g[0] or 0) * 60 + int(g[1])) * 60 + int(g[2])) * 1000 + int(g[3].ljust(3, "0"))
         seq, now, before = 0, None, ""
         with open(partition.value, encoding="utf-8-sig", errors="replace") as f:
-            for line in [*f, "\n"]:
+            for line in chain(f, ["\n"]):
                 line = line.rstrip("\r\n")
                 m = time.match(line)
                 if m and (self.vtt or before.strip().isdigit()):

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from cueforge.functions import text as T
 from cueforge.operators import consolidate
 from cueforge.sources.sinks import Snapshots
 
@@ -16,29 +17,41 @@ from cueforge.sources.sinks import Snapshots
 class Consolidation:
     """Packs new blocks into volumes micro-batch by micro-batch, going on with each channel's last volume.
 
-    State and placed blocks are snapshots. The state remembers the last batch, so a batch that is run again after a failure changes nothing.
+    The state holds each channel's last volume and its size, as snapshots; placed blocks are a table with a folder for each batch,
+    and the ids in it are the processed ones. The state remembers the last batch, so a batch that is run again after a failure changes nothing.
     """
 
     def __init__(self, spark: SparkSession, path: str, max_chars: int = consolidate.MAX_CHARS, header: int = 0):
         self.spark, self.path, self.max_chars, self.header = spark, path.rstrip("/"), max_chars, header
         self.state = Snapshots(spark, f"{self.path}/state")
 
-    def batch(self, blocks: DataFrame, number: int) -> None:
-        """Place a batch of blocks (channel, path, video_id, n_chars and others)."""
+    def next_batch(self) -> int:
+        """The number of the batch that comes next, where no stream counts them."""
+        old = self.state.read()
+        return 0 if old is None else (old.agg(F.max("batch")).first()[0] or 0) + 1
+
+    def batch(self, blocks: DataFrame, number: int, scanned: DataFrame | None = None) -> None:
+        """Place a batch of blocks (channel, path, video_id, n_chars and others). Blocks without an id are known by their path.
+
+        scanned (channel, last_volume, last_volume_size): the volumes that are there, which correct the state.
+        """
         spark = blocks.sparkSession
         state = Snapshots(spark, f"{self.path}/state")
         old = state.read()
         if old is not None:
             if not old.where(F.col("batch") >= number).isEmpty():
                 return
-            done = old.select("channel", F.explode("processed_ids").alias("video_id"))
-            blocks = blocks.join(done, ["channel", "video_id"], "left_anti")
+            key = F.when(F.coalesce("video_id", F.lit("")).isin("", T.NO_ID), F.concat(F.lit("/"), "path")).otherwise(F.col("video_id"))
+            done = spark.read.parquet(f"{self.path}/placed").where(F.col("batch") < number).select("channel", key.alias("_key"))
+            blocks = blocks.withColumn("_key", key).join(done, ["channel", "_key"], "left_anti").drop("_key")
             old = old.drop("batch")
+            if scanned is not None:
+                old = consolidate.reconciled(old, scanned)
         placed = consolidate.pack(blocks, max_chars=self.max_chars, header=self.header, state=old)
         target = f"{self.path}/placed/batch={number}"
         placed.write.mode("overwrite").parquet(target)
         placed = spark.read.parquet(target)
-        new = consolidate.next_state(placed, old)
+        new = consolidate.last_volumes(placed, old)
         state.write(new.withColumn("batch", F.lit(number)))
 
     def start(self, stream: DataFrame, checkpoint: str):
@@ -49,14 +62,14 @@ class Consolidation:
         return self.spark.read.parquet(f"{self.path}/placed")
 
     def reset(self) -> None:
-        """Forget the state; all blocks are placed anew from the stream's next full run."""
+        """Forget the state and what was placed, and so which files are archived; all blocks are placed anew from the next full run."""
         self.state.reset()
         Snapshots(self.spark, f"{self.path}/placed").reset()
 
 
 def rebuilt_state(placed: DataFrame) -> DataFrame:
     """The state that placed blocks imply: what is physically there decides."""
-    return consolidate.next_state(placed)
+    return consolidate.last_volumes(placed)
 
 
 def early_stop(listing: DataFrame, run: int = 10, channel: str = "channel") -> DataFrame:

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from cueforge import cli
-from cueforge.operators import document
+from cueforge.operators import document, topics
 from cueforge.sources import records
 
 
@@ -52,6 +52,35 @@ def test_front_end(spark, tmp_path, capsys):
     assert "CANAL: c" in volume and '<article class="video-entry">' in volume and "(ID: abcdefghij1)" in volume
 
 
+def test_consolidation_goes_on(spark, tmp_path, capsys):
+    (tmp_path / "in").mkdir()
+    run = lambda *more: cli.main(["consolidate", str(tmp_path / "in"), str(tmp_path / "out"), "c", "--max-chars", "700", *more])
+    put = lambda n, words: (tmp_path / f"in/c-abcdefghij{n}.md").write_text(f"# **T{n}**\n\n{words}\n")
+    volume = lambda n: (tmp_path / f"out/c-v00{n}.txt").read_text(encoding="utf-8-sig")
+    put(3, "first " * 20)
+    run()
+    put(1, "second " * 20)
+    put(2, "third " * 20)
+    run()
+    one = volume(1)
+    assert one.count("<article") == 2 and one.index("first") < one.index("second")  # the first volume is filled on, in the order of arrival
+    assert volume(2).count("<article") == 1 and "third" in volume(2)
+    capsys.readouterr()
+    run()
+    assert "0 volumes" in capsys.readouterr().out and volume(1) == one
+    run("--reset")
+    assert "third" in volume(1) and "first" in volume(2)  # all anew, by path
+
+
+def test_least_topics_and_titles(spark):
+    sims = spark.createDataFrame([(d, w, 0.5 + w / 100, n) for d, n in ((1, 3), (2, 5)) for w in range(1, 12)], "doc_id int, window_id int, sim double, least int")
+    got = topics.topic_breaks(sims, 0.1, least="least").groupBy("doc_id").count().collect()
+    assert {tuple(r) for r in got} == {(1, 2), (2, 4)}
+    files = spark.createDataFrame([("x/a.b.srt", "1"), ("x/c.srt", None)], "path string, video_id string")
+    lookup = spark.createDataFrame([("1", "", "20240102")], "video_id string, title string, publish_date string")
+    assert {(r["title"], r["publish_date"]) for r in document.titled(files, lookup).collect()} == {("a.b", "2024-01-02"), ("c", "Desconhecida")}
+
+
 def test_files_without_an_id_stay_apart(spark, tmp_path):
     for name, word in (("one", "Alpha"), ("two", "Beta"), ("x/one", "Gamma")):
         (tmp_path / "in" / name).parent.mkdir(parents=True, exist_ok=True)

@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from cueforge.operators import consolidate
 from cueforge.sources import records, sinks, subtitles
 from cueforge.streaming import incremental
 
@@ -109,6 +110,32 @@ def test_consolidation_restarts(spark, tmp_path):
     assert incremental.rebuilt_state(c.placed()).first()["last_volume"] == 3
 
 
+def test_state_against_volumes(spark):
+    state = spark.createDataFrame([("a", 2, 10), ("b", 3, 20)], "channel string, last_volume int, last_volume_size long")
+    there = spark.createDataFrame([("a", 2, 99), ("b", 1, 5), ("c", 4, 7)], "channel string, last_volume int, last_volume_size long")
+    got = {tuple(r) for r in consolidate.reconciled(state, there).collect()}
+    assert got == {("a", 2, 99), ("b", 3, 20), ("c", 4, 7)}
+    assert consolidate.reconciled(state, there.limit(0)).count() == 2
+
+
+def test_blocks_without_ids_are_known_by_path(spark, tmp_path):
+    c = incremental.Consolidation(spark, str(tmp_path / "out"), max_chars=100)
+    rows = lambda *paths: spark.createDataFrame([("c", p, None, 40) for p in paths], "channel string, path string, video_id string, n_chars int")
+    c.batch(rows("a", "b"), c.next_batch())
+    c.batch(rows("a", "b", "d"), c.next_batch())
+    assert [r["path"] for r in c.placed().orderBy("path").collect()] == ["a", "b", "d"]
+    assert c.state.read().first()["last_volume"] == 2 and c.next_batch() == 2
+
+
+def test_file_report_and_vtt_names(spark):
+    files = spark.createDataFrame([("a", None), ("b", " "), ("c", "\ufffd\ufffd"), ("d", "text"), ("e", "1\n00:00:00,000 --> 00:00:01,000\nx\n")], "path string, value string")
+    got = {r["path"]: (r["n_cues"], r["problem"]) for r in subtitles.file_report(files).collect()}
+    assert got == {"a": (0, "missing"), "b": (0, "empty"), "c": (0, "undecodable"), "d": (0, "no cues"), "e": (1, None)}
+    names = spark.createDataFrame([("x/a.b-1.pt.vtt",), ("x/a.b-1.srt",), ("x/a title.vtt",), ("x/a-title.vtt",)], "path string")
+    assert [r["path"] for r in records.vtt_files(names, "a.b", "1").collect()] == ["x/a.b-1.pt.vtt"]
+    assert [r["path"] for r in records.vtt_files(names, "a.b", "2").collect()] == ["x/a title.vtt"]
+
+
 def test_early_stop_stream(spark, tmp_path):
     rows = [("c", i, f"v{i}", i in (2, 3, 4)) for i in range(7)]
     spark.createDataFrame(rows, "channel string, pos int, video_id string, known boolean").coalesce(1).write.parquet(str(tmp_path / "in"))
