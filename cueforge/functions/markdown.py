@@ -7,12 +7,27 @@ from pyspark.sql import functions as F
 
 from cueforge.functions.text import NO_ID, NO_TITLE, UNKNOWN_DATE, channel_url, format_date, item_url, strip, yaml_safe
 
-RULE = "=" * 60
+#: Rules, marks and labels of volumes and Markdown files that are there.
+RULE, OLD_RULE = "=" * 60, "-" * 60
 INTEGRAL = "TRANSCRIÇÃO INTEGRAL:"
 BODY_MARKS = ["### Segmentos de Tópicos", "### Transcrição Estruturada"]
 HEAD_CHARS = 2048
 #: The spellings of each front matter key.
-KEYS = {"title": "title|titulo", "date": "date|data|publish_date|upload_date", "id": "video_id|id"}
+KEYS = {"title": ["title", "titulo"], "date": ["date", "data", "publish_date", "upload_date"], "id": ["video_id", "id"]}
+
+
+def _entry(lines: Column, keys: list[str]) -> Column:
+    """The value of the first line `key: value` with one of the keys, in any case, and a value; quotes off; null without one."""
+    value = lambda x: strip(F.regexp_replace(strip(F.substr(x, F.instr(x, ":") + 1)), "^[\"']|[\"']$", ""))
+    own = F.filter(lines, lambda x: x.contains(":") & F.lower(F.substring_index(x, ":", 1)).isin(*keys) & (value(x) != ""))
+    return value(F.get(own, F.lit(0)))
+
+
+def _day(text: Column) -> Column:
+    """The first date that follows the word for one with no other digits between, or null."""
+    after = F.split(text, "(?iu)dat[ae]")
+    days = F.transform(F.slice(after, 2, F.size(after)), lambda x: F.regexp_extract(F.regexp_replace(x, r"^\D+", ""), r"^\d{4}-?\d{2}-?\d{2}", 0))
+    return F.get(F.filter(days, lambda x: x != ""), F.lit(0))
 
 
 def front_matter(text: Column) -> Column:
@@ -23,20 +38,18 @@ def front_matter(text: Column) -> Column:
 
 def front_field(block: Column, field: str) -> Column:
     """A key's value in a front matter block, quotes off; null if absent or blank."""
-    value = strip(F.regexp_extract(block, rf"""(?im)^(?:{KEYS[field]}):\s*["']?(.+?)["']?$""", 1))
-    return F.when(value != "", value)
+    return _entry(F.split(block, "\n"), KEYS[field])
 
 
 def metadata(text: Column, head: int | None = HEAD_CHARS) -> Column:
     """struct(title, date, id) from the first `head` characters: front matter, then the first heading and date line."""
     text = F.substring(text, 1, head) if head else text
     block = front_matter(text)
-    heading = strip(F.regexp_extract(text, r"(?m)^\s*#\s+(?:\*\*)?(.+?)(?:\*\*)?$", 1))
-    heading = F.regexp_replace(heading, r"[*_]", "")
-    day = F.regexp_extract(text, r"(?iu)Dat(?:a|e)[^0-9]*?(\d{4}-?\d{2}-?\d{2})", 1)
-    own = front_field(block, "date")
-    date = F.when(own.isNotNull(), format_date(own)).when(day != "", format_date(day))
-    return F.struct(F.coalesce(front_field(block, "title"), F.when(heading != "", heading)).alias("title"), date.alias("date"), front_field(block, "id").alias("id"))
+    titles = F.transform(F.split(text, "\n"), lambda x: F.when(strip(x).rlike(r"^#\s"), strip(F.translate(F.substr(strip(x), F.lit(2)), "*_", ""))))
+    heading = F.get(F.filter(titles, lambda x: x != ""), F.lit(0))
+    own, day = front_field(block, "date"), _day(text)
+    date = F.when(own.isNotNull(), format_date(own)).when(day.isNotNull(), format_date(day))
+    return F.struct(F.coalesce(front_field(block, "title"), heading).alias("title"), date.alias("date"), front_field(block, "id").alias("id"))
 
 
 def header_block(text: Column, level: int = 1) -> Column:
@@ -99,13 +112,20 @@ def volume_index(lines: Column) -> Column:
 
 
 def volume_records(text: Column) -> Column:
-    """array of struct(title, id, date): the articles of a volume; the old triples only where there is none."""
-    new = r'title:\s*"(.*?)"\nvideo_id:\s*"(.*?)"\nurl:\s*".*?"\ndate:\s*"(.*?)"'
-    old = r"ID:\s*(.*?)\nDATA:\s*(.*?)\nTITULO:\s*(.*?)\n-{60}"
-    part = lambda p, i: F.transform(F.regexp_extract_all(text, F.lit(p), F.lit(i)), strip)
-    zipped = lambda p, order: F.transform(F.arrays_zip(part(p, order[0]).alias("a"), part(p, order[1]).alias("b"), part(p, order[2]).alias("c")), lambda x: F.struct(x["a"].alias("title"), x["b"].alias("id"), x["c"].alias("date")))
-    found = zipped(new, (1, 2, 3))
-    return F.when(F.size(found) > 0, found).otherwise(zipped(old, (3, 1, 2)))
+    """array of struct(title, id, date): the front matters of a volume's articles; the old form's records only where there is none.
+
+    A front matter is what stands between two lines `---` and has nothing but `key: value` lines, the three keys among them in any order.
+    In the old form the three lines before each rule of dashes hold the record.
+    """
+    lines = lambda block: F.filter(F.split(block, "\n"), lambda x: strip(x) != "")
+    record = lambda own, title, item, date: F.struct(_entry(own, [title]).alias("title"), _entry(own, [item]).alias("id"), _entry(own, [date]).alias("date"))
+    whole = lambda r: r["title"].isNotNull() & r["id"].isNotNull() & r["date"].isNotNull()
+    fronts = F.filter(F.split(text, r"(?m)^---\s*$"), lambda b: F.forall(lines(b), lambda x: x.rlike(r"^\w+:")))
+    new = F.filter(F.transform(fronts, lambda b: record(lines(b), "title", "video_id", "date")), whole)
+    ends = F.split(text, rf"\n{OLD_RULE}")
+    last = F.transform(F.slice(ends, 1, F.size(ends) - 1), lambda b: F.slice(F.reverse(F.split(b, "\n")), 1, 3))
+    old = F.filter(F.transform(last, lambda own: record(own, "titulo", "id", "data")), whole)
+    return F.when(F.size(new) > 0, new).otherwise(old)
 
 
 def old_metadata(text: Column) -> Column:

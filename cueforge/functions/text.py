@@ -14,7 +14,7 @@ SOUND_LABELS = ["Música", "Aplausos", "Risos", "Música ao fundo", "Vinheta", "
 GAP_LABELS = ["Pulo de tempo", "Intervalo", "Gap", "Pulo"]
 QUESTION_OPENINGS = ["por que", "porque", "como", "onde", "qual", "quais", "quem", "quando", "quanto", "quantos", "quantas", "será que", "será"]
 UNKNOWN_DATE, NO_TITLE, NO_ID = "Desconhecida", "Sem Título", "Sem ID"
-_OPEN, _CLOSE = "", ""  # private-use marks around a match, between two replacements
+_OPEN, _CLOSE = "\ufdd0", "\ufdd1"  # marks around a match, between two replacements: noncharacters, which texts never hold
 
 
 def strip(c: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,21 +76,23 @@ def rebuilt_state(placed: DataFrame) -> DataFrame:
 def early_stop(listing: DataFrame, run: int = 10, channel: str = "channel") -> DataFrame:
     """(channel, video_id) of a listing stream (channel, pos, video_id, known): rows until the one that completes a run of known ones.
 
-    Keyed state holds the run's length and whether the channel has stopped; batches arrive in listing order.
+    Keyed state holds the run's length and whether the channel has stopped; batches arrive in listing order, and rows of a batch are put in it.
+    A channel's rows of one batch are held at once, so batches bound the memory.
     """
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         length, stopped = state.get if state.exists else (0, False)
-        rows = pd.concat(list(frames)).sort_values("pos")
-        kept = []
-        for item, known in zip(rows["video_id"], rows["known"], strict=True):
-            length = length + 1 if known else 0
-            stopped = stopped or length >= run
-            if stopped:
-                break
-            kept.append(item)
-        state.update((length, stopped))
-        yield pd.DataFrame({channel: [key[0]] * len(kept), "video_id": kept})
+        if stopped:
+            return
+        rows = pd.concat([f[["pos", "video_id", "known"]] for f in frames]).sort_values("pos", kind="stable")
+        known = rows["known"].fillna(False).to_numpy(bool)
+        place = np.arange(len(known))
+        # how many known ones end at each row: its distance from the last unknown one, which may lie in an earlier batch
+        runs = place - np.maximum.accumulate(np.where(known, -1 - length, place)) if len(known) else place
+        full = np.flatnonzero(runs >= run)
+        kept = rows["video_id"].iloc[: full[0] if len(full) else len(rows)]
+        state.update((int(runs[-1]) if len(runs) else length, bool(len(full))))
+        yield pd.DataFrame({channel: key[0], "video_id": kept})
 
     return listing.groupBy(channel).applyInPandasWithState(step, f"{channel} string, video_id string", "length int, stopped boolean", "append", GroupStateTimeout.NoTimeout)
 

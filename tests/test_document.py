@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from cueforge import cli
+from cueforge.functions import markdown as M
 from cueforge.operators import document, topics
 from cueforge.sources import records
 
@@ -81,6 +82,23 @@ def test_least_topics_and_titles(spark):
     assert {(r["title"], r["publish_date"]) for r in document.titled(files, lookup).collect()} == {("a.b", "2024-01-02"), ("c", "Desconhecida")}
 
 
+def test_records_of_volumes(value):
+    front = '<article class="video-entry">\n---\ndate: "2024-01-02"\nvideo_id: "v1"\ntitle: "A "quoted": one"\n---\n\n# A\n\ntitle: "no"\ndate: spoken of\n</article>\n'
+    old = "text\nID: v2\nDATA: 2020-01-01\nTITULO: Old\n" + "-" * 60 + "\nmore text\n"
+    read = lambda text: [tuple(r) for r in value(M.volume_records(F.lit(text)))]
+    assert read(front + front.replace("v1", "v3")) == [('A "quoted": one', "v1", "2024-01-02"), ('A "quoted": one', "v3", "2024-01-02")]
+    assert read(front + old) == read(front) and read(old + old) == [("Old", "v2", "2020-01-01")] * 2
+    assert read("nothing\n---\nhere") == [] and read("") == []
+
+
+def test_heads_of_documents(value):
+    read = lambda text: tuple(value(M.metadata(F.lit(text))))
+    assert read("---\nTitulo: 'One'\r\ndate:\npublish_date: 20240203\nid: x\n---\nbody") == ("One", "2024-02-03", "x")
+    assert read("text\n # **Head _line_**\n> **Data:** 2024-03-01 | **Date:** 2020-01-01") == ("Head line", "2024-03-01", None)
+    assert read("# T\nData 12, later Date: 20240305") == ("T", "2024-03-05", None)
+    assert read("no head") == (None, None, None)
+
+
 def test_files_without_an_id_stay_apart(spark, tmp_path):
     for name, word in (("one", "Alpha"), ("two", "Beta"), ("x/one", "Gamma")):
         (tmp_path / "in" / name).parent.mkdir(parents=True, exist_ok=True)
