@@ -89,3 +89,19 @@ def test_volumes(spark):
 def test_best_files(spark):
     f = spark.createDataFrame([("v", "x.srt"), ("v", "x.txt"), ("v", "x.md"), (None, "d/y.txt"), ("Sem ID", "z.jpg")], "video_id string, path string")
     assert {r["video_id"]: r["path"] for r in consolidate.best_files(f).collect()} == {"v": "x.md", "FILE_y.txt": "d/y.txt", "FILE_z.jpg": "z.jpg"}
+
+
+def test_two_steps_of_packing_as_in_one_where_joins_turn_into_broadcasts(spark):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        part = lambda lo, hi: spark.range(lo, hi, 1, 6).selectExpr("cast(id % 2 as string) as channel", "id as path", "id % 7 + 1 as n_chars")
+        pack = lambda blocks, **kw: consolidate.pack(blocks, max_chars=200, header=5, **kw).select("channel", "path", "volume_no", "offset")
+        first = pack(part(0, 300))
+        state = consolidate.last_volumes(first.join(part(0, 300), ["channel", "path"]))
+        both = first.union(pack(part(300, 600), state=spark.createDataFrame(state.collect(), state.schema)))
+        assert sorted(map(tuple, both.collect())) == sorted(map(tuple, pack(part(0, 600)).collect()))
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
