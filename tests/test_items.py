@@ -105,3 +105,9 @@ def test_two_steps_of_packing_as_in_one_where_joins_turn_into_broadcasts(spark):
     finally:
         for k in settings:
             spark.conf.unset(k)
+
+
+def test_volumes_above_999_have_names_of_their_own(spark):
+    placed = spark.createDataFrame([("c", n, "p", "v", "t", "d", "b") for n in (7, 100, 1000, 1001)], "channel string, volume_no int, path string, video_id string, title string, date string, block string")
+    names = [r["file_name"] for r in consolidate.volumes(placed, F.lit("now")).orderBy("volume_no").collect()]
+    assert names == ["c-v007.txt", "c-v100.txt", "c-v1000.txt", "c-v1001.txt"]
