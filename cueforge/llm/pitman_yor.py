@@ -1,9 +1,10 @@
 """Hierarchical Pitman-Yor language model, trained and applied over blocks of documents.
 
-A word's context is the word before it. Each of the `frequent` (65,470) most frequent words, and a text's start, has a restaurant of its
-own; they share the parent of their class (the word's last two letters, hashed to CLASSES classes), where the words that follow rarer words
-sit directly; all classes share the root, whose base is uniform over the known words and one unknown. So the number of restaurants is fixed, while their
-dishes (all distinct words) grow with the corpus.
+A word's context is the word before it. Each word of the training texts, and a text's start, has a restaurant of its own; they share the
+parent of their class (the word's last two letters, hashed to CLASSES classes); all classes share the root, whose base is uniform over the
+known words and one unknown. A word that training lacks has an empty restaurant, which predicts what its class does. So restaurants grow with the
+distinct words: 8 bytes for each go to every worker that scans texts, a few and 8 a sweep to those that sample. `frequent` bounds them to that many most frequent words, and the words that
+follow rarer ones then sit at their class directly: another, coarser model.
 
 Seating: dishes are dealt to ranges by hash, so all restaurants' seats of one dish lie together. A Gibbs sweep works by blocks: all customers
 of a dish leave their restaurant (their tables leave the parent's count too) and sit down again in turn, at a new table or at one that is there, given
@@ -16,7 +17,7 @@ seed, the word, the restaurant and the sweep, not on how the work is divided. Af
 numbers of dishes with one and two customers, and strengths are the likeliest for the totals. Predictive probabilities are
 averaged over the sweeps after `burn_in`.
 
-Flow: a scan counts words for the frequent ones; a second scan cuts the corpus into blocks, each of which asks every hash range for its distinct (word, context)
+Flow: a scan counts words for the contexts; a second scan cuts the corpus into blocks, each of which asks every hash range for its distinct (word, context)
 pairs and says how often it saw them in training; ranges merge, sample, and answer each block with one probability a pair; blocks add up their documents.
 """
 
@@ -37,9 +38,7 @@ from cueforge.llm.store import ROWS, Store, rows_at_once
 from cueforge.llm.words import buffers, mix, seeds, word_spans
 
 _U = np.uint64
-CLASSES, BLOCK_TOKENS, RANGE_TOKENS, PIECE, SLOT_BITS, FEW, SINGLY = 64, 800_000, 600_000, 2 << 20, 18, 48, 16
-#: The most context restaurants, so that a pair's context takes 16 bits.
-FREQUENT = (1 << 16) - 2 - CLASSES
+CLASSES, BLOCK_TOKENS, RANGE_TOKENS, PIECE, FEW, SINGLY = 64, 800_000, 600_000, 2 << 20, 48, 16
 END = int(seeds(1, 3000)[0]) & ~63
 _FOLD = np.arange(256, dtype=np.int64)
 _FOLD[65:91] += 32
@@ -112,9 +111,9 @@ def _unpack(data: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data.as_buffer(), _U, n), np.frombuffer(data.as_buffer(), np.uint32, n, 8 * n)
 
 
-def _counted(frequent: int):
+def _counted(frequent: int | None):
     def total(table: pa.Table) -> pa.Table:
-        """One range: its words and tokens, and its most frequent words."""
+        """One range: its words and tokens, and its most frequent words, or all."""
         parts = [_unpack(x) for x in table["data"]]
         keys, where = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
         n = np.bincount(where, weights=np.concatenate([p[1] for p in parts])).astype(np.int64)
@@ -124,17 +123,17 @@ def _counted(frequent: int):
     return total
 
 
-def _best(frequent: int):
+def _best(frequent: int | None, last: bool = False):
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The most frequent words of all rows of a task, in one row."""
-        keys, n = np.zeros(0, _U), np.zeros(0, np.int64)
+        """The most frequent words of all rows of a task, or all, in one row; at last their keys alone, sorted."""
+        rows: list[np.ndarray] = []
         for batch in batches:
-            for x in batch.column(0):
-                both = np.frombuffer(x.as_buffer(), np.int64).reshape(2, -1)
-                keys, n = np.r_[keys, both[0].view(_U)], np.r_[n, both[1]]
-                top = np.lexsort((keys, -n))[:frequent]
-                keys, n = keys[top], n[top]
-        yield pa.record_batch([pa.array([keys.tobytes() + n.tobytes()], pa.binary())], names=["top"])
+            rows += [np.frombuffer(x.as_buffer(), np.int64).reshape(2, -1) for x in batch.column(0)]
+            if rows and frequent is not None:
+                both = np.concatenate(rows, axis=1)
+                rows = [both[:, np.lexsort((both[0].view(_U), -both[1]))[:frequent]]]
+        both = np.concatenate(rows, axis=1) if rows else np.zeros((2, 0), np.int64)
+        yield pa.record_batch([pa.array([_sorted_keys(both[0].view(_U)) if last else both.tobytes()], pa.binary())], names=["top"])
 
     return merge
 
@@ -144,9 +143,27 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = 0.0
     for batch in batches:
         for x in batch.column(0):
-            total = total + np.frombuffer(x.as_buffer())
+            total = total + _whole(x.as_buffer())
     if not isinstance(total, float):
-        yield pa.record_batch([pa.array([total.tobytes()], pa.binary())], names=["sums"])
+        yield pa.record_batch([pa.array([_packed(total)], pa.binary())], names=["sums"])
+
+
+def _sorted_keys(keys: np.ndarray) -> bytes:
+    """Keys as their differences in order, compressed."""
+    return zlib.compress(np.diff(np.sort(keys), prepend=_U(0)).view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def _open_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(zlib.decompress(data), np.uint8).reshape(8, -1).T).view(_U).ravel(), dtype=_U)
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """Whole numbers, mostly small, in few bytes: as 64 bits, their lowest bytes first, compressed."""
+    return zlib.compress(x.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def _whole(data: memoryview | bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(data), np.uint8).reshape(8, -1).T).view("<i8").ravel().astype(np.float64)
 
 
 def _planes(x: np.ndarray) -> bytes:
@@ -158,18 +175,28 @@ def _unplanes(data: memoryview | bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
-def _blocking(folds: int, out: int, ranges: int, frequent: np.ndarray):
-    first = len(frequent)  # the context of a text's start; the classes' own follow
-    slot = (frequent >> _U(64 - SLOT_BITS)).astype(np.int64)
-    slots, shared = np.zeros(1 << SLOT_BITS, np.int64), np.bincount(slot, minlength=1 << SLOT_BITS) > 1
-    slots[slot] = np.arange(first)
+def _blocking(folds: int, out: int, ranges: int, keys: bytes, first: int):
+    # `first` is the context of a text's start; the classes' own follow
+    bits = min(22, max(18, first.bit_length() + 2))
+    lookup: list[np.ndarray] = []
+
+    def look() -> list[np.ndarray]:
+        """The words with restaurants, the word of each slot, and whether a slot has several: made where they are used, not sent there."""
+        if not lookup:
+            frequent = _open_keys(keys)
+            slot = (frequent >> _U(64 - bits)).astype(np.int64)
+            slots, shared = np.zeros(1 << bits, np.int32), np.bincount(slot, minlength=1 << bits) > 1
+            slots[slot] = np.arange(first)
+            lookup.extend((frequent, slots, shared))
+        return lookup
 
     def find(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places among the frequent words, and whether a word is one."""
+        """Places among the words with restaurants, and whether a word is one."""
         if not first:
             return np.zeros(len(h), np.int64), np.zeros(len(h), bool)
-        slot = (h >> _U(64 - SLOT_BITS)).astype(np.int64)
-        at = slots[slot]
+        frequent, slots, shared = look()
+        slot = (h >> _U(64 - bits)).astype(np.int64)
+        at = slots[slot].astype(np.int64)
         other = np.flatnonzero((frequent[at] != h) & shared[slot])
         at[other] = np.minimum(np.searchsorted(frequent, h[other]), first - 1)
         return at, frequent[at] == h
@@ -186,7 +213,7 @@ def _blocking(folds: int, out: int, ranges: int, frequent: np.ndarray):
         order = np.lexsort((leaf, word))
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
-        word, leaf, n = word[order], leaf[order].astype(np.uint16), n[order]
+        word, leaf, n = word[order], leaf[order].astype(np.uint32), n[order]
         cut = np.searchsorted(_range_of(word, ranges), np.arange(ranges + 1, dtype=_U))
         full = np.flatnonzero(np.diff(cut))
         data = [_request(word[cut[r] : cut[r + 1]], leaf[cut[r] : cut[r + 1]], n[cut[r] : cut[r + 1]]) for r in full]
@@ -217,16 +244,18 @@ def _blocking(folds: int, out: int, ranges: int, frequent: np.ndarray):
 def _request(word: np.ndarray, leaf: np.ndarray, n: np.ndarray) -> bytes:
     """Distinct words, how many pairs each has, and the pairs' contexts and counts (of 32 bits, then what is above)."""
     start = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
-    return np.array([len(start), len(word)], "<i8").tobytes() + word[start].tobytes() + np.diff(np.r_[start, len(word)]).astype("<u2").tobytes() + leaf.tobytes() + _planes(n & 0xFFFFFFFF) + (_planes(n >> 32) if n.dtype == np.int64 and (n >> 32).any() else b"")
+    return np.array([len(start), len(word)], "<i8").tobytes() + word[start].tobytes() + _planes(np.diff(np.r_[start, len(word)])) + _planes(leaf) + _planes(n & 0xFFFFFFFF) + (_planes(n >> 32) if n.dtype == np.int64 and (n >> 32).any() else b"")
 
 
 def _open_request(data: pa.Buffer) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     w, m = np.frombuffer(data, "<i8", 2).tolist()
-    at = 16 + 8 * w
-    n = _unplanes(memoryview(data)[at + 2 * w + 2 * m : at + 2 * w + 6 * m]).astype(np.int64)
-    if len(data) > at + 2 * w + 6 * m:
-        n |= _unplanes(memoryview(data)[at + 2 * w + 6 * m :]).astype(np.int64) << 32
-    return np.frombuffer(data, _U, w, 16), np.frombuffer(data, "<u2", w, at), np.frombuffer(data, "<u2", m, at + 2 * w), n
+    view, at = memoryview(data), 16 + 8 * w
+    leaf = at + 4 * w
+    count = leaf + 4 * m
+    n = _unplanes(view[count : count + 4 * m]).astype(np.int64)
+    if len(data) > count + 4 * m:
+        n |= _unplanes(view[count + 4 * m :]).astype(np.int64) << 32
+    return np.frombuffer(data, _U, w, 16), _unplanes(view[at:leaf]), _unplanes(view[leaf:count]), n
 
 
 def _merged(table: pa.Table) -> pa.Table:
@@ -236,10 +265,10 @@ def _merged(table: pa.Table) -> pa.Table:
     blocks = np.array(table["block"].to_pylist(), np.int64)
     parts = [_open_request(x.as_buffer()) for x in table["data"]]
     words, where = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-    pair = np.repeat(where, np.concatenate([p[1] for p in parts])) << 16 | np.concatenate([p[2] for p in parts]).astype(np.int64)
+    pair = np.repeat(where, np.concatenate([p[1] for p in parts])) << 32 | np.concatenate([p[2] for p in parts]).astype(np.int64)
     pairs, which = np.unique(pair, return_inverse=True)
     n = np.bincount(which, weights=np.concatenate([p[3] for p in parts])).astype(np.int64)
-    data = _request(words[pairs >> 16], (pairs & 0xFFFF).astype(np.uint16), n)
+    data = _request(words[pairs >> 32], (pairs & 0xFFFFFFFF).astype(np.uint32), n)
     asked, lo = [], 0
     for p in parts:
         own = which[lo : lo + len(p[2])]
@@ -258,6 +287,18 @@ class Totals:
     discount: tuple[float, float, float]
     strength: tuple[float, float, float]
 
+    def __getstate__(self) -> tuple:
+        return tuple(map(_packed, self.customers)), tuple(map(_packed, self.tables)), self.discount, self.strength
+
+    def __setstate__(self, state: tuple) -> None:
+        customers, tables, self.discount, self.strength = state
+        self.customers, self.tables = tuple(_narrow(_whole(x)) for x in customers), tuple(_narrow(_whole(x)) for x in tables)
+
+
+def _narrow(x: np.ndarray) -> np.ndarray:
+    """Whole numbers in 32 bits, if they fit."""
+    return x.astype(np.int32) if x.max(initial=0) < 1 << 31 else x
+
 
 def totals(sums: np.ndarray, contexts: int) -> Totals:
     """From the sums over all ranges (see _Range.sums)."""
@@ -270,12 +311,13 @@ def totals(sums: np.ndarray, contexts: int) -> Totals:
 
 def _strength(customers: np.ndarray, tables: np.ndarray, d: float) -> float:
     """The likeliest strength shared by these restaurants."""
-    c, t = customers[customers > 0], tables[customers > 0]
+    alike, times = np.unique(customers[customers > 0] + 1j * tables[customers > 0], return_counts=True)  # most restaurants are small and alike
+    c, t = alike.real, alike.imag
 
     def fit(s: float) -> float:
         g = lgamma
         one = np.full(1, s)
-        return float(((t - 1) * math.log(d) + g(s / d + t) - g(one / d + 1) - g(s + c) + g(one + 1)).sum())
+        return float((times * ((t - 1) * math.log(d) + g(s / d + t) - g(one / d + 1) - g(s + c) + g(one + 1))).sum())
 
     return max((10 ** (x / 4) for x in range(-4, 33)), key=fit)
 
@@ -385,9 +427,9 @@ class _Range:
         self.leaf, self.n = leaf.astype(np.int64), n.astype(np.int64)
         self.word = np.repeat(np.arange(len(self.words)), pairs)
         self.contexts = len(frequent) + 1
-        classes = np.r_[(frequent & _U(63)).astype(np.int64), 0]
+        classes = np.r_[(frequent & 63).astype(np.uint8), np.uint8(0)]
         self.own = self.leaf < self.contexts
-        cls = np.where(self.own, classes[np.minimum(self.leaf, self.contexts - 1)], self.leaf - self.contexts)
+        cls = np.where(self.own, classes[np.minimum(self.leaf, self.contexts - 1)].astype(np.int64), self.leaf - self.contexts)
         seats, self.up = np.unique(self.word * CLASSES + cls, return_inverse=True)
         self.word2, self.cls2 = seats // CLASSES, seats % CLASSES
         self.base, self.seed = 1.0 / (words + 1), seed
@@ -433,12 +475,17 @@ class _Range:
         self.c3 = np.bincount(self.word2, weights=self.t2, minlength=len(self.words))
         self.t3 = seat(self.c3, (s3 + d3 * others) * self.base, np.full(len(self.words), d3 * self.base), d3, draw[2])
 
-    def sums(self) -> np.ndarray:
-        """Customers and tables by restaurant, and how many dishes have one and two customers at each level."""
-        by = lambda where, x, n: np.bincount(where, weights=x, minlength=n)
+    def sums(self, total: np.ndarray | None = None) -> np.ndarray:
+        """Customers and tables by restaurant, and how many dishes have one and two customers at each level; added to `total`."""
+        total = np.zeros(2 * self.contexts + 2 * CLASSES + 8) if total is None else total
         n1 = np.where(self.own, self.n, 0)
+        leaf, which = np.unique(self.leaf1, return_inverse=True)  # few of all restaurants
+        total[leaf] += np.bincount(which, weights=n1, minlength=len(leaf))
+        total[self.contexts + leaf] += np.bincount(which, weights=self.t1, minlength=len(leaf))
         ones = [np.count_nonzero(x == k) for x in (n1, self.c2, self.c3) for k in (1, 2)]
-        return np.concatenate([by(self.leaf1, n1, self.contexts), by(self.leaf1, self.t1, self.contexts), by(self.cls2, self.c2, CLASSES), by(self.cls2, self.t2, CLASSES), [self.c3.sum(), self.t3.sum()], ones])
+        by = lambda x: np.bincount(self.cls2, weights=x, minlength=CLASSES)
+        total[2 * self.contexts :] += np.concatenate([by(self.c2), by(self.t2), [self.c3.sum(), self.t3.sum()], ones])
+        return total
 
     def predict(self, g: Totals) -> np.ndarray:
         """Each pair's predictive probability."""
@@ -456,7 +503,7 @@ class _Range:
             own = np.cumsum(_unplanes(self.view[lo:hi]).astype(np.int64))
             word = self.word[own]
             start = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
-            yield block, np.array([len(own)], "<i8").tobytes() + logs[own].tobytes() + seen[word[start]].tobytes() + np.diff(np.r_[start, len(own)]).astype("<u2").tobytes()
+            yield block, np.array([len(own)], "<i8").tobytes() + logs[own].tobytes() + seen[word[start]].tobytes() + np.diff(np.r_[start, len(own)]).astype("<u4").tobytes()
 
 
 def _swept(frequent: np.ndarray, words: int, seed: int, past: list[Totals]):
@@ -468,8 +515,8 @@ def _swept(frequent: np.ndarray, words: int, seed: int, past: list[Totals]):
                 own.start()
                 for turn, g in enumerate(past):
                     own.sweep(g, turn)
-                total += own.sums()
-        yield pa.record_batch([pa.array([total.tobytes()], pa.binary())], names=["sums"])
+                own.sums(total)
+        yield pa.record_batch([pa.array([_packed(total)], pa.binary())], names=["sums"])
 
     return run
 
@@ -504,9 +551,9 @@ def _scored(folds: int, out: int, tokens: int, words: int):
                 head = data
                 continue
             m = int(np.frombuffer(data, "<i8", 1)[0])
-            w = (len(data) - 8 - 4 * m) // 10
+            w = (len(data) - 8 - 4 * m) // 12
             logs.append(np.frombuffer(data, "<f4", m, 8))
-            seen.append(np.repeat(np.frombuffer(data, "<i8", w, 8 + 4 * m), np.frombuffer(data, "<u2", w, 8 + 4 * m + 8 * w)))
+            seen.append(np.repeat(np.frombuffer(data, "<i8", w, 8 + 4 * m), np.frombuffer(data, "<u4", w, 8 + 4 * m + 8 * w)))
         docs = int(np.frombuffer(head, "<i8", 1)[0])
         ids, sizes = np.frombuffer(head, "<i8", docs, 8), np.frombuffer(head, "<i8", docs, 8 + 8 * docs)
         which = _unplanes(memoryview(head)[8 + 16 * docs :])
@@ -522,16 +569,16 @@ def _scored(folds: int, out: int, tokens: int, words: int):
     return score
 
 
-def scored(spark: SparkSession, docs: DataFrame, folds: int = 7, out: int = 2, frequent: int = FREQUENT, sweeps: int = 2, burn_in: int = 0, seed: int = 11) -> DataFrame:
+def scored(spark: SparkSession, docs: DataFrame, folds: int = 7, out: int = 2, frequent: int | None = None, sweeps: int = 2, burn_in: int = 0, seed: int = 11) -> DataFrame:
     """Scores of docs (doc_id, text) by a model of those whose crc32(doc_id as text) mod folds isn't `out`.
 
     Returns doc_id, held_out, n_tokens (words and one end), n_known (tokens that training has), train_tokens, base_score (log10 by
     add-one word counts), score (log10 by the model), perplexity (10 ** (-score / n_tokens)). Null texts count as empty, a
     null doc_id is never held out; repeated rows count each; an empty table gives no rows; extra columns are ignored. frequent: how
-    many words have a context restaurant of their own, FREQUENT at most; all others share those of their classes.
+    many words have a context restaurant of their own, if not all of the training texts; all others share those of their classes.
     """
-    if not 0 <= frequent <= FREQUENT:
-        raise ValueError(f"frequent must lie between 0 and {FREQUENT}")
+    if frequent is not None and frequent < 0:
+        raise ValueError("frequent must be 0 or more, or None for all words")
     store = Store(spark, "pitman-yor")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     chars = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -541,26 +588,32 @@ def scored(spark: SparkSession, docs: DataFrame, folds: int = 7, out: int = 2, f
         counts = store.save(counts, "counts")
     size = counts.agg(F.sum("words").alias("w"), F.sum("tokens").alias("t")).first()
     words, tokens = size["w"] or 0, size["t"] or 0
-    best = counts.select("top").mapInArrow(_best(frequent), "top binary").repartition(1).mapInArrow(_best(frequent), "top binary").collect()  # one row
-    top = np.sort(np.frombuffer(best[0]["top"], _U).reshape(2, -1)[0]) if best else np.zeros(0, _U)
+    best = counts.select("top").mapInArrow(_best(frequent), "top binary").repartition(1).mapInArrow(_best(frequent, True), "top binary").collect()  # one row
+    keys = bytes(best[0]["top"]) if best else _sorted_keys(np.zeros(0, _U))
+    del best
+    kinds = (_open_keys(keys) & _U(63)).astype(np.uint8)  # the ranges need a context's class, not its word
     store.drop("counts")
-    merged = texts.mapInArrow(lean(_blocking(folds, out, ranges, top)), _SCHEMA).groupBy("rng").applyInArrow(lean_group(_merged), _SCHEMA)
+    merged = texts.mapInArrow(lean(_blocking(folds, out, ranges, keys, len(kinds))), _SCHEMA).groupBy("rng").applyInArrow(lean_group(_merged), _SCHEMA)
     # blocks' own rows aside from the ranges', which every sweep reads
     with rows_at_once(spark, ROWS):
         merged = store.save(merged.withColumn("is_range", F.col("rng") >= 0), "merged", by="is_range")
     seats = merged.where("is_range").select("rng", "data")
     store.release()
     past: list[Totals] = []
+    contexts = len(kinds) + 1
     with rows_at_once(spark, 1):
         for _ in range(sweeps + 1):
-            rows = seats.mapInArrow(lean(_swept(top, words, seed, past)), "sums binary")
+            rows = seats.mapInArrow(lean(_swept(kinds, words, seed, past)), "sums binary")
             for n in (16, 1):
                 rows = rows.repartition(n).mapInArrow(_added, "sums binary")
-            total = np.zeros(2 * (len(top) + 1) + 2 * CLASSES + 8)  # all, also where there are no ranges
+            total = np.zeros(2 * contexts + 2 * CLASSES + 8)  # all, also where there are no ranges
             for r in rows.collect():  # one row: two numbers a restaurant
-                total += np.frombuffer(r["sums"])
-            past.append(totals(total, len(top) + 1))
-        answers = seats.mapInArrow(lean(_answered(top, words, seed, past, burn_in)), _SCHEMA)
+                total += _whole(r["sums"])
+            g = totals(total, contexts)
+            past.append(Totals(tuple(map(_narrow, g.customers)), tuple(map(_narrow, g.tables)), g.discount, g.strength))
+            del rows, total, g
+            store.release()
+        answers = seats.mapInArrow(lean(_answered(kinds, words, seed, past, burn_in)), _SCHEMA)
         answers = answers.union(merged.where("not is_range").select("block", "rng", "data"))
         schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
         result = store.save(answers.groupBy("block").applyInArrow(lean_group(_scored(folds, out, tokens, words)), schema), "scores")

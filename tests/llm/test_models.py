@@ -31,6 +31,14 @@ def test_scores(spark):
     assert all(again[i] == pytest.approx(r["score"]) for i, r in got.items())
 
 
+def test_every_word_has_a_restaurant(spark):
+    """Words that differ in their followers alone, more of them than 16 bits count."""
+    n = 36_000
+    rows = [(i, " ".join(f"a{k} b{k}" for k in range(i % 360, n, 360)), "s") for i in range(1080)]
+    whole, bounded = (sum(r["score"] for r in pitman_yor.scored(spark, corpus(spark, rows), **kw).select("score").collect()) for kw in ({}, {"frequent": 65_470}))
+    assert whole > bounded + 5000
+
+
 def test_no_texts(spark):
     assert pitman_yor.scored(spark, corpus(spark, [])).count() == 0
     assert pitman_yor.scored(spark, corpus(spark, [(0, None, None), (None, "", None)])).count() == 2
