@@ -19,14 +19,15 @@ def pack(blocks: DataFrame, channel: str = "channel", order: list[str] | None =
     """blocks with volume_no and offset: each channel's blocks in order, a new volume where the next block doesn't fit.
 
     header characters open each volume and count. A block above the limit has a volume of its own. state (channel, last_volume, last_volume_size): the volume to go
-    on with; one that is full already opens the next. Only (channel, order, size) pass the fold; contents stay in Spark.
+    on with; one that is full already opens the next. Only (channel, order, size) pass the fold; contents stay in Spark and are joined to
+    its rows, so order must be unique in a channel there. Blocks without contents need no join and may repeat.
     """
     order = order or ["path"]
     if state is None:
         df = blocks.withColumns({"_v": F.lit(0), "_s": F.lit(0).cast("long")})
     else:
         s = state.select(F.col(channel).alias("_c"), F.col("last_volume").cast("int").alias("_v"), F.col("last_volume_size").cast("long").alias("_s"))
-        df = blocks.join(s, F.col(channel) == F.col("_c"), "left").drop("_c").fillna(0, ["_v", "_s"])
+        df = blocks.join(s, F.col(channel).eqNullSafe(F.col("_c")), "left").drop("_c").fillna(0, ["_v", "_s"])
     names = [f"_k{i}" for i in range(len(order))]
     df = df.withColumns({n: F.col(o) for n, o in zip(names, order, strict=True)})
 
@@ -44,12 +45,15 @@ def pack(blocks: DataFrame, channel: str = "channel", order: list[str] | None =
                 volume, used = volume + 1, 0
             used = used or header
             at, used = used, used + n
-            return [(*place, volume, at)]
+            return [(*place, n, volume, at)]
 
         return step
 
-    kinds = ", ".join(f"{n} {df.schema[n].dataType.simpleString()}" for n in names)
-    placed = ordered_fold(df, [channel], order, [*names, size, "_v", "_s"], begin, f"{kinds}, volume_no int, offset long")
+    kinds = ", ".join(f"{n} {df.schema[c].dataType.simpleString()}" for n, c in zip([*names, "_n"], [*names, size], strict=True))
+    placed = ordered_fold(df, [channel], [*order, size], [*names, size, "_v", "_s"], begin, f"{kinds}, volume_no int, offset long")
+    passed = {channel: channel, size: "_n"} | dict(zip(order, names, strict=True))
+    if passed.keys() >= set(blocks.columns):
+        return placed.select(*(F.col(passed[c]).alias(c) for c in blocks.columns), "volume_no", "offset")
     keys = [F.col(f"p.{channel}").eqNullSafe(F.col(f"b.{channel}"))] + [F.col(f"p.{n}").eqNullSafe(F.col(f"b.{o}")) for n, o in zip(names, order, strict=True)]
     cond = keys[0]
     for k in keys[1:]:

@@ -107,6 +107,18 @@ def test_two_steps_of_packing_as_in_one_where_joins_turn_into_broadcasts(spark):
             spark.conf.unset(k)
 
 
+def test_two_steps_of_packing_keep_repeated_blocks_and_null_channels(spark):
+    first = [("c", 1, 30), ("c", 1, 30), ("c", 2, 50), (None, 1, 60)]
+    second = [("c", 3, 20), ("c", 3, 40), (None, 2, 30), (None, 3, 30)]
+    frame = lambda rows: spark.createDataFrame(rows, "channel string, path int, n_chars int")
+    one = consolidate.pack(frame(first), max_chars=100)
+    both = one.union(consolidate.pack(frame(second), max_chars=100, state=consolidate.last_volumes(one)))
+    assert both.columns == ["channel", "path", "n_chars", "volume_no", "offset"]
+    got = sorted(map(tuple, both.collect()), key=lambda r: (r[0] or "", r[3], r[4]))
+    assert [r for r in got if r[0]] == [("c", 1, 30, 1, 0), ("c", 1, 30, 1, 30), ("c", 2, 50, 2, 0), ("c", 3, 20, 2, 50), ("c", 3, 40, 3, 0)]
+    assert [r for r in got if not r[0]] == [(None, 1, 60, 1, 0), (None, 2, 30, 1, 60), (None, 3, 30, 2, 0)]
+
+
 def test_volumes_above_999_have_names_of_their_own(spark):
     placed = spark.createDataFrame([("c", n, "p", "v", "t", "d", "b") for n in (7, 100, 1000, 1001)], "channel string, volume_no int, path string, video_id string, title string, date string, block string")
     names = [r["file_name"] for r in consolidate.volumes(placed, F.lit("now")).orderBy("volume_no").collect()]
