@@ -2,23 +2,23 @@
 
 A word's context is the word before it. Each word of the training texts, and a text's start, has a restaurant of its own; they share the
 parent of their class (the word's last two letters, hashed to CLASSES classes); all classes share the root, whose base is uniform over the
-known words and one unknown. A word that training lacks has an empty restaurant, which predicts what its class does. So restaurants grow with the
-distinct words: 8 bytes for each go to every worker that scans texts, a few and 8 a sweep to those that sample. `frequent` bounds them to that many most frequent words, and the words that
-follow rarer ones then sit at their class directly: another, coarser model.
+known words and one unknown. A word that training lacks has an empty restaurant, which predicts what its class does. No process holds all
+restaurants: a context is named by its key, and each range of words knows only those that it seats somebody in. `frequent` bounds the restaurants to
+that many most frequent words, and the words that follow rarer ones then sit at their class directly: another, coarser model.
 
 Seating: dishes are dealt to ranges by hash, so all restaurants' seats of one dish lie together. A Gibbs sweep works by blocks: all customers
 of a dish leave their restaurant (their tables leave the parent's count too) and sit down again in turn, at a new table or at one that is there, given
 the seating of all others at the end of the sweep before; contexts first, then classes, then the root. The numbers of customers between
 two new tables are drawn at once from their exact distribution (see seat()), so one law holds for a dish of two customers as of billions. (The
 block is drawn forward and isn't reweighted, as a removal of single customers would do; and blocks of one sweep see each other's last seats.)
-Only totals (two numbers a restaurant) are summed over all ranges and sent to the next sweep. A range replays earlier
-sweeps from their totals and its own draws, so a sweep stores nothing else and a lost task repeats exactly. A draw depends on the
-seed, the word, the restaurant and the sweep, not on how the work is divided. After each sweep, discounts come from the
+Ranges send their customers and tables by context to parts of the contexts, which add them up and answer each range with the totals of its own
+contexts; only the sums of classes and root and the likelihoods of strengths reach the driver. A range's state after a sweep is its numbers of tables.
+A draw depends on the seed, the word, the context and the sweep, not on how the work is divided. After each sweep, discounts come from the
 numbers of dishes with one and two customers, and strengths are the likeliest for the totals. Predictive probabilities are
 averaged over the sweeps after `burn_in`.
 
-Flow: a scan counts words for the contexts; a second scan cuts the corpus into blocks, each of which asks every hash range for its distinct (word, context)
-pairs and says how often it saw them in training; ranges merge, sample, and answer each block with one probability a pair; blocks add up their documents.
+Flow: a scan cuts the corpus into blocks, each of which asks every hash range for its distinct (word, context) pairs and says how often it saw them in
+training; ranges merge, sample, and answer each block with one probability a pair; blocks add up their documents.
 """
 
 from __future__ import annotations
@@ -39,7 +39,11 @@ from cueforge.llm.words import buffers, mix, seeds, word_spans
 
 _U = np.uint64
 CLASSES, BLOCK_TOKENS, RANGE_TOKENS, PIECE, FEW, SINGLY = 64, 800_000, 600_000, 2 << 20, 48, 16
-END = int(seeds(1, 3000)[0]) & ~63
+END, START = (int(k) & ~63 for k in seeds(2, 3000))  # a text's end as a word, its start as a context; a context below 64 is a class itself
+#: Kinds of rows: a block's documents; a range's pairs, which of them blocks asked for, its tables; its sums by
+#: context, and all others; how likely strengths are; the totals of its contexts (where several sweeps meet: TOTALS + sweep).
+HEAD, SEATS, ASKED, STATE, SUMS, TAIL, FITS, TOTALS = range(8)
+GRID = np.array([10 ** (x / 4) for x in range(-4, 33)])
 _FOLD = np.arange(256, dtype=np.int64)
 _FOLD[65:91] += 32
 
@@ -75,11 +79,47 @@ def _range_of(keys: np.ndarray, ranges: int) -> np.ndarray:
     return ((keys >> _U(32)) * _U(ranges)) >> _U(32)
 
 
-def _rows(block: int, rng: list[int], data: list[bytes]) -> pa.RecordBatch:
-    return pa.record_batch([pa.array([block] * len(data), pa.int64()), pa.array(rng, pa.int64()), pa.array(data, pa.binary())], names=["block", "rng", "data"])
+def _rows(kind: list[int], block: list[int], rng: list[int], data: list[bytes]) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(kind, pa.int32()), pa.array(block, pa.int64()), pa.array(rng, pa.int64()), pa.array(data, pa.binary())], names=["kind", "block", "rng", "data"])
 
 
-_SCHEMA = "block long, rng long, data binary"
+def _table(*rows: tuple[int, int, int, bytes]) -> pa.Table:
+    return pa.Table.from_batches([_rows(*map(list, zip(*rows, strict=True)))])
+
+
+_SCHEMA = "kind int, block long, rng long, data binary"
+
+
+def _pack(*parts: np.ndarray) -> bytes:
+    """Arrays of whole numbers, each in as many bytes as its largest takes, their lowest bytes first, compressed."""
+    head, body = [len(parts)], []
+    for x in parts:
+        x = np.ascontiguousarray(x).astype(_U, copy=False)
+        width = (int(x.max(initial=0)).bit_length() + 7) // 8
+        head += [len(x), width]
+        body.append(x.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes())
+    raw = np.array(head, "<i8").tobytes() + b"".join(body)
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _unpack(data: pa.Buffer | bytes) -> list[np.ndarray]:
+    view = memoryview(data)
+    raw = pa.decompress(view[8:], decompressed_size=int.from_bytes(view[:8], "little"), codec="zstd")
+    sizes = np.frombuffer(raw, "<i8", 2 * int(np.frombuffer(raw, "<i8", 1)[0]), 8).reshape(-1, 2).tolist()
+    found, at = [], 8 + 16 * len(sizes)
+    for n, width in sizes:
+        x = np.zeros((n, 8), np.uint8)
+        x[:, :width] = np.frombuffer(raw, np.uint8, n * width, at).reshape(width, n).T
+        found.append(x.view(_U).ravel())
+        at += n * width
+    return found
+
+
+def _deltas(x: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Differences within runs that begin at `starts`; a run's first number stays."""
+    d = np.diff(x, prepend=x.dtype.type(0))
+    d[starts] = x[starts]
+    return d
 
 
 def _counting(folds: int, out: int, ranges: int):
@@ -90,7 +130,7 @@ def _counting(folds: int, out: int, ranges: int):
             keys, n = np.unique(np.concatenate(waiting), return_counts=True)
             cut = np.searchsorted(_range_of(keys, ranges), np.arange(ranges + 1, dtype=_U))
             full = np.flatnonzero(np.diff(cut))
-            return _rows(0, full.tolist(), [keys[cut[r] : cut[r + 1]].tobytes() + n[cut[r] : cut[r + 1]].astype(np.uint32).tobytes() for r in full])
+            return _rows([SUMS] * len(full), [0] * len(full), full.tolist(), [_pack(keys[cut[r] : cut[r + 1]], n[cut[r] : cut[r + 1]]) for r in full])
 
         for batch in batches:
             for ids, keys, cuts in _pieces(batch):
@@ -106,64 +146,35 @@ def _counting(folds: int, out: int, ranges: int):
     return count
 
 
-def _unpack(data: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
-    n = len(data.as_buffer()) // 12
-    return np.frombuffer(data.as_buffer(), _U, n), np.frombuffer(data.as_buffer(), np.uint32, n, 8 * n)
-
-
-def _counted(frequent: int | None):
+def _counted(frequent: int):
     def total(table: pa.Table) -> pa.Table:
-        """One range: its words and tokens, and its most frequent words, or all."""
-        parts = [_unpack(x) for x in table["data"]]
+        """One range: its most frequent words."""
+        parts = [_unpack(x.as_buffer()) for x in table["data"]]
         keys, where = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
         n = np.bincount(where, weights=np.concatenate([p[1] for p in parts])).astype(np.int64)
         top = np.lexsort((keys, -n))[:frequent]
-        return pa.table({"words": pa.array([len(keys)], pa.int64()), "tokens": pa.array([int(n.sum())], pa.int64()), "top": pa.array([keys[top].tobytes() + n[top].tobytes()], pa.binary())})
+        return pa.table({"top": pa.array([keys[top].tobytes() + n[top].tobytes()], pa.binary())})
 
     return total
 
 
-def _best(frequent: int | None, last: bool = False):
+def _best(frequent: int):
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The most frequent words of all rows of a task, or all, in one row; at last their keys alone, sorted."""
-        rows: list[np.ndarray] = []
+        """The most frequent words of all rows of a task, in one row."""
+        both = np.zeros((2, 0), np.int64)
         for batch in batches:
-            rows += [np.frombuffer(x.as_buffer(), np.int64).reshape(2, -1) for x in batch.column(0)]
-            if rows and frequent is not None:
-                both = np.concatenate(rows, axis=1)
-                rows = [both[:, np.lexsort((both[0].view(_U), -both[1]))[:frequent]]]
-        both = np.concatenate(rows, axis=1) if rows else np.zeros((2, 0), np.int64)
-        yield pa.record_batch([pa.array([_sorted_keys(both[0].view(_U)) if last else both.tobytes()], pa.binary())], names=["top"])
+            both = np.concatenate([both, *(np.frombuffer(x.as_buffer(), np.int64).reshape(2, -1) for x in batch.column(0))], axis=1)
+            both = both[:, np.lexsort((both[0].view(_U), -both[1]))[:frequent]]
+        yield pa.record_batch([pa.array([both.tobytes()], pa.binary())], names=["top"])
 
     return merge
 
 
 def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The sum of all rows' numbers, in one row."""
-    total = 0.0
-    for batch in batches:
-        for x in batch.column(0):
-            total = total + _whole(x.as_buffer())
-    if not isinstance(total, float):
-        yield pa.record_batch([pa.array([_packed(total)], pa.binary())], names=["sums"])
-
-
-def _sorted_keys(keys: np.ndarray) -> bytes:
-    """Keys as their differences in order, compressed."""
-    return zlib.compress(np.diff(np.sort(keys), prepend=_U(0)).view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
-
-
-def _open_keys(data: bytes) -> np.ndarray:
-    return np.cumsum(np.ascontiguousarray(np.frombuffer(zlib.decompress(data), np.uint8).reshape(8, -1).T).view(_U).ravel(), dtype=_U)
-
-
-def _packed(x: np.ndarray) -> bytes:
-    """Whole numbers, mostly small, in few bytes: as 64 bits, their lowest bytes first, compressed."""
-    return zlib.compress(x.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
-
-
-def _whole(data: memoryview | bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(zlib.decompress(data), np.uint8).reshape(8, -1).T).view("<i8").ravel().astype(np.float64)
+    total = sum(np.frombuffer(x.as_buffer(), "<f8") for batch in batches for x in batch.column("data"))
+    if not isinstance(total, int):
+        yield _rows([TAIL], [0], [0], [total.tobytes()])
 
 
 def _planes(x: np.ndarray) -> bytes:
@@ -175,50 +186,45 @@ def _unplanes(data: memoryview | bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
-def _blocking(folds: int, out: int, ranges: int, keys: bytes, first: int):
-    # `first` is the context of a text's start; the classes' own follow
-    bits = min(22, max(18, first.bit_length() + 2))
-    lookup: list[np.ndarray] = []
-
-    def look() -> list[np.ndarray]:
-        """The words with restaurants, the word of each slot, and whether a slot has several: made where they are used, not sent there."""
-        if not lookup:
-            frequent = _open_keys(keys)
-            slot = (frequent >> _U(64 - bits)).astype(np.int64)
-            slots, shared = np.zeros(1 << bits, np.int32), np.bincount(slot, minlength=1 << bits) > 1
-            slots[slot] = np.arange(first)
-            lookup.extend((frequent, slots, shared))
-        return lookup
-
-    def find(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places among the words with restaurants, and whether a word is one."""
-        if not first:
-            return np.zeros(len(h), np.int64), np.zeros(len(h), bool)
-        frequent, slots, shared = look()
-        slot = (h >> _U(64 - bits)).astype(np.int64)
-        at = slots[slot].astype(np.int64)
-        other = np.flatnonzero((frequent[at] != h) & shared[slot])
-        at[other] = np.minimum(np.searchsorted(frequent, h[other]), first - 1)
-        return at, frequent[at] == h
-
+def _blocking(folds: int, out: int, ranges: int, frequent: np.ndarray | None):
     def block_rows(number: int, docs: list, keys: np.ndarray, cuts: np.ndarray) -> pa.RecordBatch:
-        before = np.r_[_U(0), keys[:-1]]
-        place, known = find(before)
-        leaf = np.where(known, place, first + 1 + (before & _U(63)).astype(np.int64))
-        leaf[cuts[:-1]] = first
-        _, at, which = np.unique(mix(keys + mix(leaf.astype(_U))), return_index=True, return_inverse=True)
+        context = np.r_[_U(0), keys[:-1]]
+        if frequent is not None:
+            at = np.minimum(np.searchsorted(frequent, context), max(0, len(frequent) - 1))
+            context = np.where(frequent[at] == context if len(frequent) else False, context, context & _U(63))
+        context[cuts[:-1]] = START
+        _, at, which = np.unique(mix(keys + mix(context)), return_index=True, return_inverse=True)
         train = np.repeat(np.array([not held(d, folds, out) for d in docs]), np.diff(cuts))
-        n = np.bincount(which, weights=train, minlength=len(at)).astype(np.uint32)
-        word, leaf = keys[at], leaf[at]
-        order = np.lexsort((leaf, word))
+        n = np.bincount(which, weights=train, minlength=len(at)).astype(_U)
+        word, context = keys[at], context[at]
+        order = np.lexsort((context, word))
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
-        word, leaf, n = word[order], leaf[order].astype(np.uint32), n[order]
-        cut = np.searchsorted(_range_of(word, ranges), np.arange(ranges + 1, dtype=_U))
+        word, context, n = word[order], context[order], n[order]
+        rng, all_ranges = _range_of(word, ranges).astype(np.int64), np.arange(ranges + 1)
+        cut = np.searchsorted(rng, all_ranges)
         full = np.flatnonzero(np.diff(cut))
-        data = [_request(word[cut[r] : cut[r + 1]], leaf[cut[r] : cut[r + 1]], n[cut[r] : cut[r + 1]]) for r in full]
-        head = np.array([len(docs)], "<i8").tobytes() + np.array([-1 << 62 if d is None else d for d in docs], "<i8").tobytes() + np.diff(cuts).astype("<i8").tobytes() + _planes(rank[which])
-        return _rows(number, [-1 - number % 65_521, *full.tolist()], [head, *data])
+        # words and contexts of each range in order, as differences, and pairs by their places there
+        first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+        pairs, cut_words = np.diff(np.r_[first, len(word)]), np.searchsorted(rng[first], all_ranges)
+        words = _deltas(word[first], cut_words[full])
+        order = np.lexsort((context, rng))
+        other = context[order]
+        new = np.r_[True, (other[1:] != other[:-1]) | (np.diff(rng[order]) > 0)]
+        cut_contexts = np.searchsorted(rng[order[new]], all_ranges)
+        place = np.empty(len(order), np.int64)
+        place[order] = np.cumsum(new) - 1
+        place -= cut_contexts[rng]
+        contexts = _deltas(other[new], cut_contexts[full])
+        data = []
+        for r in full.tolist():
+            own, w, c = slice(cut[r], cut[r + 1]), slice(cut_words[r], cut_words[r + 1]), slice(cut_contexts[r], cut_contexts[r + 1])
+            data.append(_pack(words[w], pairs[w], contexts[c], place[own], n[own]))
+        # a document's pairs in order: only their sum counts
+        sizes, low = np.diff(cuts), (1 << 32) - 1
+        places = np.sort(np.repeat(np.arange(len(docs)), sizes) << 32 | rank[which]) & low
+        head = _pack(np.array([-1 << 62 if d is None else d for d in docs], np.int64), sizes, _deltas(places, cuts[:-1]))
+        return _rows([HEAD] + [SEATS] * len(full), [number] * (len(full) + 1), [-1 - number % 65_521, *full.tolist()], [head, *data])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -259,23 +265,31 @@ def _open_request(data: pa.Buffer) -> tuple[np.ndarray, np.ndarray, np.ndarray,
 
 
 def _merged(table: pa.Table) -> pa.Table:
-    """One range: all pairs once with their counts, and which of them each block asked for."""
+    """One range: all pairs once with their counts, which of them each block asked for, and its training words, tokens and pairs seen once and twice."""
     if table["rng"][0].as_py() < 0:
-        return table.select(["block", "rng", "data"])
-    blocks = np.array(table["block"].to_pylist(), np.int64)
-    parts = [_open_request(x.as_buffer()) for x in table["data"]]
-    words, where = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-    pair = np.repeat(where, np.concatenate([p[1] for p in parts])) << 32 | np.concatenate([p[2] for p in parts]).astype(np.int64)
+        return table
+    rng, blocks = table["rng"][0].as_py(), table["block"].to_pylist()
+    parts = [_unpack(x.as_buffer()) for x in table["data"]]
+    words, word = np.unique(np.concatenate([np.cumsum(p[0], dtype=_U) for p in parts]), return_inverse=True)
+    contexts, context = np.unique(np.concatenate([np.cumsum(p[2], dtype=_U) for p in parts]), return_inverse=True)
+    classes = int(np.searchsorted(contexts, _U(64)))  # those that are no words lie first
+    leaf = np.r_[len(contexts) - classes + 1 + contexts[:classes].astype(np.int64), np.arange(len(contexts) - classes)][context]
+    base = np.cumsum([0] + [len(p[2]) for p in parts[:-1]])
+    leaf = leaf[np.concatenate([p[3].astype(np.int64) + b for p, b in zip(parts, base.tolist(), strict=True)])]
+    pair = np.repeat(word, np.concatenate([p[1].astype(np.int64) for p in parts])) << 32 | leaf
+    del leaf, word, context
     pairs, which = np.unique(pair, return_inverse=True)
-    n = np.bincount(which, weights=np.concatenate([p[3] for p in parts])).astype(np.int64)
-    data = _request(words[pairs >> 32], (pairs & 0xFFFFFFFF).astype(np.uint32), n)
-    asked, lo = [], 0
-    for p in parts:
-        own = which[lo : lo + len(p[2])]
-        asked.append(_planes(np.diff(own, prepend=0)))
-        lo += len(p[2])
-    head = np.array([len(blocks), len(data)], "<i8").tobytes() + blocks.tobytes() + np.array([len(a) for a in asked], "<i8").tobytes()
-    return pa.table({"block": pa.array([-1], pa.int64()), "rng": pa.array([table["rng"][0].as_py()], pa.int64()), "data": pa.array([head + data + b"".join(asked)], pa.binary())})
+    n = np.bincount(which, weights=np.concatenate([p[4] for p in parts])).astype(np.int64)
+    own = contexts[classes:]
+    data = [_pack(np.diff(own, prepend=_U(0)))]
+    data.append(_request(words[pairs >> 32], (pairs & 0xFFFFFFFF).astype(np.uint32), n))
+    raw = np.array([len(x) for x in data], "<i8").tobytes() + b"".join(data)
+    seats = len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+    cuts = np.cumsum([0] + [len(p[3]) for p in parts])
+    asked = _pack(np.array(blocks), np.diff(cuts), _deltas(which, cuts[:-1]))
+    seen, leafs = np.bincount(pairs >> 32, weights=n), n[(pairs & 0xFFFFFFFF) < len(own)]
+    tail = np.array([np.count_nonzero(seen), seen.sum(), np.count_nonzero(leafs == 1), np.count_nonzero(leafs == 2)], "<f8").tobytes()
+    return _table((SEATS, -1, rng, seats), (ASKED, -1, rng, asked), (TAIL, -1, rng, tail))
 
 
 @dataclass
@@ -287,39 +301,37 @@ class Totals:
     discount: tuple[float, float, float]
     strength: tuple[float, float, float]
 
-    def __getstate__(self) -> tuple:
-        return tuple(map(_packed, self.customers)), tuple(map(_packed, self.tables)), self.discount, self.strength
-
-    def __setstate__(self, state: tuple) -> None:
-        customers, tables, self.discount, self.strength = state
-        self.customers, self.tables = tuple(_narrow(_whole(x)) for x in customers), tuple(_narrow(_whole(x)) for x in tables)
+    def within(self, customers: np.ndarray, tables: np.ndarray) -> Totals:
+        """The same with other contexts: those of one range, and one without customers."""
+        return Totals((np.r_[customers, 0], *self.customers[1:]), (np.r_[tables, 0], *self.tables[1:]), self.discount, self.strength)
 
 
-def _narrow(x: np.ndarray) -> np.ndarray:
-    """Whole numbers in 32 bits, if they fit."""
-    return x.astype(np.int32) if x.max(initial=0) < 1 << 31 else x
+def _discount(one: float, two: float) -> float:
+    return min(0.95, max(0.05, one / max(1.0, one + 2 * two)))
 
 
-def totals(sums: np.ndarray, contexts: int) -> Totals:
-    """From the sums over all ranges (see _Range.sums)."""
+def totals(sums: np.ndarray, contexts: int, fits: np.ndarray | None = None) -> Totals:
+    """From the sums over all ranges (see _Range.sums). fits: how likely the strengths of GRID are for contexts that are elsewhere."""
     sizes = (contexts, contexts, CLASSES, CLASSES, 1, 1)
     c1, t1, c2, t2, c3, t3, ones = np.split(sums, np.cumsum(sizes))
-    discount = tuple(min(0.95, max(0.05, a / max(1.0, a + 2 * b))) for a, b in ones.reshape(3, 2))
-    levels = ((c1, t1), (c2, t2), (c3, t3))
-    return Totals((c1, c2, c3), (t1, t2, t3), discount, tuple(_strength(c, t, d) for (c, t), d in zip(levels, discount, strict=True)))
+    discount = tuple(_discount(a, b) for a, b in ones.reshape(3, 2))
+    levels = [_fits(c, t, d) for c, t, d in zip((c1, c2, c3), (t1, t2, t3), discount, strict=True)]
+    if fits is not None:
+        levels[0] = fits
+    return Totals((c1, c2, c3), (t1, t2, t3), discount, tuple(float(GRID[np.argmax(x)]) for x in levels))
 
 
-def _strength(customers: np.ndarray, tables: np.ndarray, d: float) -> float:
-    """The likeliest strength shared by these restaurants."""
+def _fits(customers: np.ndarray, tables: np.ndarray, d: float) -> np.ndarray:
+    """How likely each strength of GRID is, if these restaurants share it."""
     alike, times = np.unique(customers[customers > 0] + 1j * tables[customers > 0], return_counts=True)  # most restaurants are small and alike
     c, t = alike.real, alike.imag
+    g = lgamma
 
     def fit(s: float) -> float:
-        g = lgamma
         one = np.full(1, s)
         return float((times * ((t - 1) * math.log(d) + g(s / d + t) - g(one / d + 1) - g(s + c) + g(one + 1))).sum())
 
-    return max((10 ** (x / 4) for x in range(-4, 33)), key=fit)
+    return np.array([fit(s) for s in GRID.tolist()])
 
 
 def lgamma(x: np.ndarray) -> np.ndarray:
@@ -418,15 +430,11 @@ class _Range:
     """The seats of one range's words."""
 
     def __init__(self, data: pa.Buffer, frequent: np.ndarray, words: int, seed: int):
-        blocks, size = np.frombuffer(data, "<i8", 2).tolist()
-        at = 16 + 16 * blocks
-        self.blocks, lengths = np.frombuffer(data, "<i8", blocks, 16), np.frombuffer(data, "<i8", blocks, 16 + 8 * blocks)
-        ends = at + size + np.cumsum(lengths)
-        self.view, self.spans = memoryview(data), list(zip((ends - lengths).tolist(), ends.tolist(), strict=True))
-        self.words, pairs, leaf, n = _open_request(data.slice(at, size))
+        at, size = np.frombuffer(data, "<i8", 2).tolist()  # the request comes after the contexts' keys
+        self.words, pairs, leaf, n = _open_request(data.slice(16 + at, size))
         self.leaf, self.n = leaf.astype(np.int64), n.astype(np.int64)
         self.word = np.repeat(np.arange(len(self.words)), pairs)
-        self.contexts = len(frequent) + 1
+        self.frequent, self.contexts = frequent, len(frequent) + 1
         classes = np.r_[(frequent & 63).astype(np.uint8), np.uint8(0)]
         self.own = self.leaf < self.contexts
         cls = np.where(self.own, classes[np.minimum(self.leaf, self.contexts - 1)].astype(np.int64), self.leaf - self.contexts)
@@ -434,7 +442,15 @@ class _Range:
         self.word2, self.cls2 = seats // CLASSES, seats % CLASSES
         self.base, self.seed = 1.0 / (words + 1), seed
         self.leaf1 = np.where(self.own, self.leaf, 0)
-        self.keys = (mix(self.words[self.word] + mix(self.leaf.astype(_U) + _U(1 << 20))), mix(self.words[self.word2] + mix(self.cls2.astype(_U) + _U(1 << 21))), mix(self.words))
+        context = np.r_[frequent, _U(START), np.arange(CLASSES, dtype=_U)][self.leaf]
+        self.keys = (mix(self.words[self.word] + mix(context + _U(1 << 20))), mix(self.words[self.word2] + mix(self.cls2.astype(_U) + _U(1 << 21))), mix(self.words))
+
+    @classmethod
+    def of(cls, data: pa.Buffer, words: int, seed: int) -> _Range:
+        view = memoryview(data)
+        raw = pa.decompress(view[8:], decompressed_size=int.from_bytes(view[:8], "little"), codec="zstd")
+        frequent = np.cumsum(_unpack(raw.slice(16, int(np.frombuffer(raw, "<i8", 1)[0])))[0], dtype=_U)
+        return cls(raw, frequent, words, seed)
 
     def _fill(self) -> None:
         self.c2 = np.bincount(self.up, weights=np.where(self.own, self.t1, self.n), minlength=len(self.word2))
@@ -447,6 +463,15 @@ class _Range:
         self.c3 = np.bincount(self.word2, weights=self.t2, minlength=len(self.words))
         self.t3 = (self.c3 > 0).astype(np.float64)
 
+    def state(self) -> bytes:
+        return _pack(self.t1, self.t2, self.t3)
+
+    def restore(self, data: pa.Buffer) -> None:
+        """Go on from a state."""
+        self.t1, self.t2, self.t3 = (x.astype(np.float64) for x in _unpack(data))
+        self._fill()
+        self.c3 = np.bincount(self.word2, weights=self.t2, minlength=len(self.words))
+
     def parents(self, g: Totals) -> tuple[np.ndarray, np.ndarray]:
         """Probabilities of the words at the root, and of the classes' dishes."""
         (_, d2, d3), (_, s2, s3) = g.discount, g.strength
@@ -475,17 +500,22 @@ class _Range:
         self.c3 = np.bincount(self.word2, weights=self.t2, minlength=len(self.words))
         self.t3 = seat(self.c3, (s3 + d3 * others) * self.base, np.full(len(self.words), d3 * self.base), d3, draw[2])
 
-    def sums(self, total: np.ndarray | None = None) -> np.ndarray:
-        """Customers and tables by restaurant, and how many dishes have one and two customers at each level; added to `total`."""
-        total = np.zeros(2 * self.contexts + 2 * CLASSES + 8) if total is None else total
+    def sums(self) -> np.ndarray:
+        """Customers and tables by context, and by class and at the root, and how many dishes have one and two customers at each level."""
         n1 = np.where(self.own, self.n, 0)
-        leaf, which = np.unique(self.leaf1, return_inverse=True)  # few of all restaurants
-        total[leaf] += np.bincount(which, weights=n1, minlength=len(leaf))
-        total[self.contexts + leaf] += np.bincount(which, weights=self.t1, minlength=len(leaf))
         ones = [np.count_nonzero(x == k) for x in (n1, self.c2, self.c3) for k in (1, 2)]
-        by = lambda x: np.bincount(self.cls2, weights=x, minlength=CLASSES)
-        total[2 * self.contexts :] += np.concatenate([by(self.c2), by(self.t2), [self.c3.sum(), self.t3.sum()], ones])
-        return total
+        at, by = (lambda x: np.bincount(self.leaf1, weights=x, minlength=self.contexts)), (lambda x: np.bincount(self.cls2, weights=x, minlength=CLASSES))
+        return np.concatenate([at(n1), at(self.t1), by(self.c2), by(self.t2), [self.c3.sum(), self.t3.sum()], ones])
+
+    def rows(self, rng: int, parts: int) -> list[tuple[int, int, int, bytes]]:
+        """The sums as rows for the parts of the contexts, and the rest."""
+        c, t, rest = np.split(self.sums(), (self.contexts, 2 * self.contexts))
+        cut = np.searchsorted(_range_of(self.frequent, parts), np.arange(parts + 1, dtype=_U))
+        found = [(TAIL, -1, rng, rest.tobytes())]
+        for q in np.flatnonzero(np.diff(cut)).tolist():
+            own = slice(cut[q], cut[q + 1])
+            found.append((SUMS, rng, q, _pack(np.diff(self.frequent[own], prepend=_U(0)), c[own], t[own])))
+        return found
 
     def predict(self, g: Totals) -> np.ndarray:
         """Each pair's predictive probability."""
@@ -495,48 +525,91 @@ class _Range:
         at_leaf = (self.n - d1 * self.t1 + (s1 + d1 * g.tables[0])[self.leaf1] * up) / (s1 + g.customers[0])[self.leaf1]
         return np.where(self.own, at_leaf, up)
 
-    def answers(self, p: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    def answers(self, p: np.ndarray, asked: pa.Buffer) -> Iterator[tuple[int, bytes]]:
         """For each block: log10 of the pairs it asked for, and how often training saw each of its words."""
         logs = np.log10(p).astype("<f4")
         seen = np.bincount(self.word, weights=self.n, minlength=len(self.words)).astype("<i8")
-        for block, (lo, hi) in zip(self.blocks.tolist(), self.spans, strict=True):
-            own = np.cumsum(_unplanes(self.view[lo:hi]).astype(np.int64))
+        blocks, sizes, which = (x.view(np.int64) for x in _unpack(asked))
+        ends = np.cumsum(sizes)
+        for block, lo, hi in zip(blocks.tolist(), (ends - sizes).tolist(), ends.tolist(), strict=True):
+            own = np.cumsum(which[lo:hi])
             word = self.word[own]
             start = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
             yield block, np.array([len(own)], "<i8").tobytes() + logs[own].tobytes() + seen[word[start]].tobytes() + np.diff(np.r_[start, len(own)]).astype("<u4").tobytes()
 
 
-def _swept(frequent: np.ndarray, words: int, seed: int, past: list[Totals]):
+def _kinds(table: pa.Table) -> dict[int, list[tuple[int, pa.Buffer]]]:
+    """A group's (block, data) by kind, in order."""
+    found: dict[int, list[tuple[int, pa.Buffer]]] = {}
+    for kind, block, data in zip(table["kind"].to_pylist(), table["block"].to_pylist(), table["data"], strict=True):
+        found.setdefault(kind, []).append((block, data.as_buffer()))
+    return {k: sorted(rows, key=lambda r: r[0]) for k, rows in found.items()}
+
+
+def _placed(rows: dict[int, list[tuple[int, pa.Buffer]]], words: int, seed: int) -> _Range:
+    own = _Range.of(rows[SEATS][0][1], words, seed)
+    if STATE in rows:
+        own.restore(rows[STATE][0][1])
+    else:
+        own.start()
+    return own
+
+
+def _within(g: Totals, rows: list[tuple[int, pa.Buffer]]) -> Totals:
+    parts = [_unpack(data) for _, data in rows]
+    c, t = (np.concatenate([p[i] for p in parts]).astype(np.float64) if parts else np.zeros(0) for i in (0, 1))
+    return g.within(c, t)
+
+
+def _started(parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(2 * (len(frequent) + 1) + 2 * CLASSES + 8)
         for batch in batches:
-            for data in batch.column(1):
-                own = _Range(data.as_buffer(), frequent, words, seed)
+            for rng, data in zip(batch.column("rng").to_pylist(), batch.column("data"), strict=True):
+                own = _Range.of(data.as_buffer(), 0, 0)
                 own.start()
-                for turn, g in enumerate(past):
-                    own.sweep(g, turn)
-                own.sums(total)
-        yield pa.record_batch([pa.array([_packed(total)], pa.binary())], names=["sums"])
+                yield from _table(*own.rows(rng, parts)).to_batches()
 
     return run
 
 
-def _answered(frequent: np.ndarray, words: int, seed: int, past: list[Totals], burn_in: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for number, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                own = _Range(data.as_buffer(), frequent, words, seed)
-                own.start()
-                p, kept = 0.0, 0
-                for turn, g in enumerate(past):  # past[turn] are the totals before sweep `turn`
-                    if turn > burn_in or len(past) == 1:
-                        p, kept = p + own.predict(g), kept + 1
-                    if turn + 1 < len(past):
-                        own.sweep(g, turn)
-                rows = list(own.answers(p / kept))
-                for lo in range(0, len(rows), 16):
-                    part = rows[lo : lo + 16]
-                    yield pa.record_batch([pa.array([r[0] for r in part], pa.int64()), pa.array([number] * len(part), pa.int64()), pa.array([r[1] for r in part], pa.binary())], names=["block", "rng", "data"])
+def _totalled(d: float):
+    def run(table: pa.Table) -> pa.Table:
+        """One part of the contexts: customers and tables of each, sent to the ranges that know it, and how likely strengths are."""
+        ranges, parts = table["block"].to_pylist(), [_unpack(x.as_buffer()) for x in table["data"]]
+        _, where = np.unique(np.concatenate([np.cumsum(p[0], dtype=_U) for p in parts]), return_inverse=True)
+        c, t = (np.bincount(where, weights=np.concatenate([p[i] for p in parts])) for i in (1, 2))
+        part, lo, rows = table["rng"][0].as_py(), 0, []
+        rows.append((FITS, part, -1, _fits(c, t, d).tobytes()))
+        for rng, p in zip(ranges, parts, strict=True):
+            own = where[lo : lo + len(p[0])]
+            rows.append((TOTALS, part, rng, _pack(c[own], t[own])))
+            lo += len(p[0])
+        return _table(*rows)
+
+    return run
+
+
+def _swept(g: Totals, words: int, seed: int, turn: int, parts: int):
+    def run(table: pa.Table) -> pa.Table:
+        rows, rng = _kinds(table), table["rng"][0].as_py()
+        own = _placed(rows, words, seed)
+        own.sweep(_within(g, rows.get(TOTALS, [])), turn)
+        return _table((STATE, -1, rng, own.state()), *own.rows(rng, parts))
+
+    return run
+
+
+def _answered(past: dict[int, Totals], words: int, seed: int):
+    def run(table: pa.Table) -> pa.Table:
+        """The mean of the predictions after each sweep of `past`, from the state after the first of them on."""
+        rows, rng, p = _kinds(table), table["rng"][0].as_py(), 0.0
+        own = _placed(rows, words, seed)
+        for turn, whole in past.items():
+            g = _within(whole, rows.get(TOTALS + turn, []))
+            p = p + own.predict(g)
+            if turn + 1 in past:
+                own.sweep(g, turn)
+        return _table(*((SEATS, block, rng, data) for block, data in own.answers(p / len(past), rows[ASKED][0][1])))
 
     return run
 
@@ -554,10 +627,10 @@ def _scored(folds: int, out: int, tokens: int, words: int):
             w = (len(data) - 8 - 4 * m) // 12
             logs.append(np.frombuffer(data, "<f4", m, 8))
             seen.append(np.repeat(np.frombuffer(data, "<i8", w, 8 + 4 * m), np.frombuffer(data, "<u4", w, 8 + 4 * m + 8 * w)))
-        docs = int(np.frombuffer(head, "<i8", 1)[0])
-        ids, sizes = np.frombuffer(head, "<i8", docs, 8), np.frombuffer(head, "<i8", docs, 8 + 8 * docs)
-        which = _unplanes(memoryview(head)[8 + 16 * docs :])
-        start = np.cumsum(sizes) - sizes
+        ids, sizes, which = (x.view(np.int64) for x in _unpack(head))
+        start, docs = np.cumsum(sizes) - sizes, len(ids)
+        which = np.cumsum(which)
+        which -= np.repeat(np.r_[0, which[start[1:] - 1]], sizes)
         seen = np.concatenate(seen)[which].astype(np.float64)
         add = lambda x: np.add.reduceat(x, start)
         base = add(np.log10((seen + 1) / (tokens + words + 1)))
@@ -569,6 +642,14 @@ def _scored(folds: int, out: int, tokens: int, words: int):
     return score
 
 
+def _most_frequent(store: Store, texts: DataFrame, folds: int, out: int, ranges: int, frequent: int) -> np.ndarray:
+    """The keys of the most frequent training words, sorted."""
+    with rows_at_once(store.spark, ROWS):
+        counts = texts.mapInArrow(lean(_counting(folds, out, ranges)), _SCHEMA).groupBy("rng").applyInArrow(lean_group(_counted(frequent)), "top binary")
+        best = counts.mapInArrow(_best(frequent), "top binary").repartition(1).mapInArrow(_best(frequent), "top binary").collect()  # one row
+    return np.sort(np.frombuffer(best[0]["top"], _U).reshape(2, -1)[0]) if best else np.zeros(0, _U)
+
+
 def scored(spark: SparkSession, docs: DataFrame, folds: int = 7, out: int = 2, frequent: int | None = None, sweeps: int = 2, burn_in: int = 0, seed: int = 11) -> DataFrame:
     """Scores of docs (doc_id, text) by a model of those whose crc32(doc_id as text) mod folds isn't `out`.
 
@@ -583,39 +664,45 @@ def scored(spark: SparkSession, docs: DataFrame, folds: int = 7, out: int = 2, f
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     chars = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(chars / 6 / RANGE_TOKENS))
-    counts = texts.mapInArrow(lean(_counting(folds, out, ranges)), _SCHEMA).groupBy("rng").applyInArrow(lean_group(_counted(frequent)), "words long, tokens long, top binary")
-    with rows_at_once(spark, ROWS):
-        counts = store.save(counts, "counts")
-    size = counts.agg(F.sum("words").alias("w"), F.sum("tokens").alias("t")).first()
-    words, tokens = size["w"] or 0, size["t"] or 0
-    best = counts.select("top").mapInArrow(_best(frequent), "top binary").repartition(1).mapInArrow(_best(frequent, True), "top binary").collect()  # one row
-    keys = bytes(best[0]["top"]) if best else _sorted_keys(np.zeros(0, _U))
-    del best
-    kinds = (_open_keys(keys) & _U(63)).astype(np.uint8)  # the ranges need a context's class, not its word
-    store.drop("counts")
-    merged = texts.mapInArrow(lean(_blocking(folds, out, ranges, keys, len(kinds))), _SCHEMA).groupBy("rng").applyInArrow(lean_group(_merged), _SCHEMA)
-    # blocks' own rows aside from the ranges', which every sweep reads
+    parts = math.ceil(ranges / 4)  # of the contexts
+    keys = None if frequent is None else _most_frequent(store, texts, folds, out, ranges, frequent)
+    merged = texts.mapInArrow(lean(_blocking(folds, out, ranges, keys)), _SCHEMA).groupBy("rng").applyInArrow(lean_group(_merged), _SCHEMA)
     with rows_at_once(spark, ROWS):
-        merged = store.save(merged.withColumn("is_range", F.col("rng") >= 0), "merged", by="is_range")
-    seats = merged.where("is_range").select("rng", "data")
+        merged = store.save(merged, "merged", by="kind")
     store.release()
-    past: list[Totals] = []
-    contexts = len(kinds) + 1
+
+    def of(table: DataFrame, kind: int, name: int | None = None) -> DataFrame:
+        return table.where(F.col("kind") == kind).select(F.lit(kind if name is None else name).alias("kind"), "block", "rng", "data")
+
+    def added(table: DataFrame, n: int) -> np.ndarray:
+        return sum((np.frombuffer(r["data"], "<f8") for r in of(table, TAIL).mapInArrow(_added, _SCHEMA).collect()), np.zeros(n))
+
+    known = added(merged, 4)
+    words, tokens, d = int(known[0]), int(known[1]), _discount(known[2], known[3])
+    seats, past, first = of(merged, SEATS), {}, min(burn_in + 1, sweeps)
     with rows_at_once(spark, 1):
-        for _ in range(sweeps + 1):
-            rows = seats.mapInArrow(lean(_swept(kinds, words, seed, past)), "sums binary")
-            for n in (16, 1):
-                rows = rows.repartition(n).mapInArrow(_added, "sums binary")
-            total = np.zeros(2 * contexts + 2 * CLASSES + 8)  # all, also where there are no ranges
-            for r in rows.collect():  # one row: two numbers a restaurant
-                total += _whole(r["sums"])
-            g = totals(total, contexts)
-            past.append(Totals(tuple(map(_narrow, g.customers)), tuple(map(_narrow, g.tables)), g.discount, g.strength))
-            del rows, total, g
-            store.release()
-        answers = seats.mapInArrow(lean(_answered(kinds, words, seed, past, burn_in)), _SCHEMA)
-        answers = answers.union(merged.where("not is_range").select("block", "rng", "data"))
+        state = store.save(seats.mapInArrow(lean(_started(parts)), _SCHEMA), "turn-0", by="kind")
+    with rows_at_once(spark, 64):
+        for turn in range(sweeps + 1):
+            whole = store.save(of(state, SUMS).groupBy("rng").applyInArrow(lean_group(_totalled(d)), _SCHEMA), f"totals-{turn}", by="kind")
+            fits = sum((np.frombuffer(r["data"], "<f8") for r in of(whole, FITS).orderBy("block").collect()), np.zeros(len(GRID)))
+            g = totals(added(state, 2 * CLASSES + 8), 0, fits)
+            if turn >= first:
+                past[turn] = g, whole
+            if turn == first:
+                placed = seats.union(of(state, STATE)) if turn else seats
+            if turn < sweeps:
+                rows = seats.union(of(whole, TOTALS))
+                rows = rows.union(of(state, STATE)) if turn else rows
+                state = store.save(rows.groupBy("rng").applyInArrow(lean_group(_swept(g, words, seed, turn, parts)), _SCHEMA), f"turn-{turn + 1}", by="kind")
+                del rows
+            store.drop(*([f"totals-{turn}"] if turn < first else []), f"turn-{turn}/kind={SUMS}" if turn == first else f"turn-{turn}")
+        rows = placed.union(of(merged, ASKED))
+        for turn, (_, whole) in past.items():
+            rows = rows.union(of(whole, TOTALS, TOTALS + turn))
+        answers = rows.groupBy("rng").applyInArrow(lean_group(_answered({turn: g for turn, (g, _) in past.items()}, words, seed)), _SCHEMA)
+        answers = answers.union(of(merged, HEAD))
         schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
         result = store.save(answers.groupBy("block").applyInArrow(lean_group(_scored(folds, out, tokens, words)), schema), "scores")
-    store.drop("merged")
+    store.drop("merged", f"turn-{first}", *(f"totals-{turn}" for turn in past))
     return result.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))

@@ -39,6 +39,21 @@ def test_every_word_has_a_restaurant(spark):
     assert whole > bounded + 5000
 
 
+def test_contexts_stay_off_the_driver(spark, monkeypatch):
+    """What is collected doesn't grow with the words that have restaurants."""
+    n, kind, got = 20_000, type(spark.range(0)), []
+    plain = kind.collect
+
+    def collect(self):
+        rows = plain(self)
+        got.append(sum(len(x) for r in rows for x in r if isinstance(x, (bytes, bytearray))))
+        return rows
+
+    monkeypatch.setattr(kind, "collect", collect)
+    pitman_yor.scored(spark, corpus(spark, [(i, " ".join(f"a{k} b{k}" for k in range(i, n, 400)), "s") for i in range(400)]))
+    assert 0 < sum(got) < n
+
+
 def test_no_texts(spark):
     assert pitman_yor.scored(spark, corpus(spark, [])).count() == 0
     assert pitman_yor.scored(spark, corpus(spark, [(0, None, None), (None, "", None)])).count() == 2
@@ -117,6 +132,26 @@ def test_probabilities_sum_to_one():
     assert own.predict(past[-1]).reshape(51, contexts).sum(0) == pytest.approx(np.ones(contexts))
 
 
+def test_ranges_go_on_from_a_state():
+    """Also from what is packed in few bytes, numbers above 32 bits included."""
+    import pyarrow as pa
+
+    words, contexts = np.sort(pitman_yor.seeds(30, 5)), np.sort(pitman_yor.seeds(4, 6))
+    n = np.random.default_rng(1).poisson(3, 120)
+    n[7] = 5_000_000_000
+    request = pitman_yor._request(np.repeat(words, 4), np.tile(np.arange(4, dtype=np.uint32), 30), n)
+    data = pa.py_buffer(np.array([0, len(request)], "<i8").tobytes() + request)
+    one, two = (pitman_yor._Range(data, contexts, 30, 1) for _ in range(2))
+    one.start()
+    for turn in range(2):
+        g = pitman_yor.totals(one.sums(), 5)
+        two.restore(pa.py_buffer(one.state()))
+        one.sweep(g, turn)
+        two.sweep(g, turn)
+    g = pitman_yor.totals(one.sums(), 5)
+    assert (one.sums() == two.sums()).all() and (one.predict(g) == two.predict(g)).all()
+
+
 def junk(rng):
     return " ".join(f"{w.upper()}!!" for w in sentence(rng, 30).split())
 
